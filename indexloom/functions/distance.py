@@ -8,8 +8,7 @@ are cut into five pieces instead, of which two edits leave at least one whole, s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from indexloom.functions import fixed_values as fixed
 
@@ -18,85 +17,54 @@ PIECES = 5
 P = fixed.FUZZY_PREFIX
 
 
-def allowed_distance(term: Column) -> Column:
-    size = F.char_length(term)
-    return F.when(size <= 2, 0).when(size <= 5, 1).otherwise(2)
+def allowed_distance(term: str) -> str:
+    return f"CASE WHEN char_length({term}) <= 2 THEN 0 WHEN char_length({term}) <= 5 THEN 1 ELSE 2 END"
 
 
-def edit_distance(a: Column, b: Column, limit: int = 2) -> Column:
+def edit_distance(a: str, b: str, limit: int = 2) -> str:
     """Levenshtein distance up to ``limit`` (-1 above), where one swap of neighbours costs 1."""
-    size = F.char_length(a)
-    swapped = F.when(
-        (size == F.char_length(b)) & (size >= 2) & (a != b),
-        F.exists(
-            F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))),
-            lambda i: F.concat(
-                F.substring(a, F.lit(1), i - 1),
-                F.substring(a, i + 1, F.lit(1)),
-                F.substring(a, i, F.lit(1)),
-                F.substring(a, i + 2, size),
-            )
-            == b,
-        ),
-    ).otherwise(False)
-    return F.when(swapped, F.lit(1)).otherwise(F.levenshtein(a, b, limit))
-
-
-def _without(text: Column, at: Column) -> Column:
-    return F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + 1, F.char_length(text)))
-
-
-def _deletions(term: Column, most: Column) -> Column:
-    """The term and what is left of it after up to ``most`` deletions behind the fixed prefix."""
-    size = F.char_length(term)
+    swap = f"concat(left({a}, i - 1), substring({a}, i + 1, 1), substring({a}, i, 1), substring({a}, i + 2))"
+    swapped = (
+        f"char_length({a}) = char_length({b}) AND char_length({a}) >= 2 AND {a} <> {b} "
+        f"AND exists(sequence(1, greatest(char_length({a}) - 1, 1)), i -> {swap} = {b})"
+    )
+    return f"CASE WHEN {swapped} THEN 1 ELSE levenshtein({a}, {b}, {limit}) END"
 
-    def shorter(word: Column, first: Column) -> Column:
-        last = F.char_length(word)
-        return F.when(
-            last >= first, F.transform(F.sequence(first, F.greatest(last, first)), lambda i: _without(word, i))
-        ).otherwise(F.array().cast("array<string>"))
 
-    start = F.lit(P + 1)
-    once = F.when((most >= 1) & (size > P), shorter(term, start)).otherwise(F.array().cast("array<string>"))
-    twice = F.when(
-        most >= 2, F.flatten(F.transform(once, lambda w: shorter(w, start)))
-    ).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(F.array(term), once, twice))
+def _shorter(word: str, at: str) -> str:
+    """The word without one character behind the fixed prefix, for each such character."""
+    return (
+        f"CASE WHEN char_length({word}) > {P} THEN transform(sequence({P + 1}, greatest(char_length({word}), {P + 1})), "
+        f"{at} -> concat(left({word}, {at} - 1), substring({word}, {at} + 1))) ELSE CAST(array() AS array<string>) END"
+    )
+
+
+def _deletions(term: str, most: str) -> str:
+    """The term and what is left of it after up to ``most`` deletions behind the fixed prefix."""
+    none = "CAST(array() AS array<string>)"
+    once = f"CASE WHEN {most} >= 1 THEN {_shorter(term, 'i')} ELSE {none} END"
+    twice = f"CASE WHEN {most} >= 2 THEN flatten(transform({once}, w -> {_shorter('w', 'j')})) ELSE {none} END"
+    return f"array_distinct(concat(array({term}), {once}, {twice}))"
 
 
-def _piece_bounds(size: Column, n: int) -> tuple[Column, Column]:
-    """Start (1-based) and length of piece ``n`` of the text behind the prefix."""
-    body = size - P
-    start = F.floor(body * n / PIECES).cast("int")
-    end = F.floor(body * (n + 1) / PIECES).cast("int")
-    return start + P + 1, end - start
+def _piece(term: str, size: str, n: str, shift: str) -> str:
+    """Piece ``n`` of a text of ``size`` characters, cut from ``term`` with a shift."""
+    start = f"(({size} - {P}) * {n} div {PIECES})"
+    end = f"(({size} - {P}) * ({n} + 1) div {PIECES})"
+    first = f"CAST(greatest({start} + {P + 1} + {shift}, 1) AS INT)"
+    return f"named_struct('size', {size}, 'n', {n}, 'piece', substring({term}, {first}, CAST({end} - {start} AS INT)))"
 
 
-def _pieces(term: Column) -> Column:
-    size = F.char_length(term)
-    parts = []
-    for n in range(PIECES):
-        start, length = _piece_bounds(size, n)
-        parts.append(F.struct(size.alias("size"), F.lit(n).alias("n"), F.substring(term, start, length).alias("piece")))
-    return F.array(*parts)
+def _pieces(term: str) -> str:
+    return f"transform(sequence(0, {PIECES - 1}), n -> {_piece(term, f'char_length({term})', 'n', '0')})"
 
 
-def _windows(term: Column) -> Column:
+def _windows(term: str) -> str:
     """Where pieces of any vocabulary term within two edits could lie in this term."""
-    size = F.char_length(term)
-    parts = []
-    for grown in range(-2, 3):
-        for n in range(PIECES):
-            start, length = _piece_bounds(size + grown, n)
-            for shift in range(-2, 3):
-                parts.append(
-                    F.struct(
-                        (size + grown).alias("size"),
-                        F.lit(n).alias("n"),
-                        F.substring(term, F.greatest(start + shift, F.lit(1)), length).alias("piece"),
-                    )
-                )
-    return F.array_distinct(F.array(*parts))
+    piece = _piece(term, f"char_length({term}) + g", "n", "s")
+    shifts = f"transform(sequence(-2, 2), s -> {piece})"
+    numbers = f"flatten(transform(sequence(0, {PIECES - 1}), n -> {shifts}))"
+    return f"array_distinct(flatten(transform(sequence(-2, 2), g -> {numbers})))"
 
 
 def neighbours(wanted: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -105,28 +73,25 @@ def neighbours(wanted: DataFrame, vocabulary: DataFrame) -> DataFrame:
     The first two characters must be equal; a term is nearest to itself with closeness 1.
     """
     keys = ["field", "analyzer"]
-    wanted = wanted.withColumns({"most": allowed_distance(F.col("term")), "head": F.left("term", F.lit(P))})
+    wanted = wanted.selectExpr("*", f"{allowed_distance('term')} AS most", f"left(term, {P}) AS head")
     heads = wanted.select(*keys, "head").distinct()
     words = (
-        vocabulary.select(*keys, F.col("term").alias("match"))
-        .withColumn("head", F.left("match", F.lit(P)))
+        vocabulary.selectExpr(*keys, "term AS match", f"left(term, {P}) AS head")
         .join(heads, [*keys, "head"], "left_semi")
     )
-    term, match = F.col("term"), F.col("match")
-    short_wanted = wanted.filter(F.char_length(term) <= LONG).withColumn(
-        "variant", F.explode(_deletions(term, F.col("most")))
+    short_wanted = wanted.filter(f"char_length(term) <= {LONG}").selectExpr(
+        "*", f"explode({_deletions('term', 'most')}) AS variant"
     )
-    short_words = words.filter(F.char_length(match) <= LONG).withColumn(
-        "variant", F.explode(_deletions(match, F.lit(2)))
+    short_words = words.filter(f"char_length(match) <= {LONG}").selectExpr(
+        "*", f"explode({_deletions('match', '2')}) AS variant"
     )
     close = short_wanted.join(short_words, [*keys, "head", "variant"]).select(*keys, "term", "match", "most")
-    long_wanted = wanted.filter(F.char_length(term) >= LONG - 1).withColumn("at", F.explode(_windows(term)))
-    long_words = words.filter(F.char_length(match) >= LONG - 1).withColumn("at", F.explode(_pieces(match)))
+    long_wanted = wanted.filter(f"char_length(term) >= {LONG - 1}").selectExpr("*", f"explode({_windows('term')}) AS at")
+    long_words = words.filter(f"char_length(match) >= {LONG - 1}").selectExpr("*", f"explode({_pieces('match')}) AS at")
     far = long_wanted.join(long_words, [*keys, "head", "at"]).select(*keys, "term", "match", "most")
     pairs = close.unionByName(far).distinct()
-    shortest = F.least(F.char_length(term), F.char_length(match))
     return (
-        pairs.withColumn("d", edit_distance(term, match))
-        .filter((F.col("d") >= 0) & (F.col("d") <= F.col("most")))
-        .select(*keys, "term", "match", (1 - F.col("d") / shortest).alias("closeness"))
+        pairs.selectExpr("*", f"{edit_distance('term', 'match')} AS d")
+        .filter("d >= 0 AND d <= most")
+        .selectExpr(*keys, "term", "match", "1 - d / least(char_length(term), char_length(match)) AS closeness")
     )
