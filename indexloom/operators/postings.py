@@ -10,6 +10,7 @@ from indexloom.config import Column
 from indexloom.functions import fixed_values as fixed
 from indexloom.functions import text
 from indexloom.functions.stem import with_stem
+from indexloom.operators.joins import widen
 
 POSTING_KEYS = ["field", "analyzer", "bucket", "shard", "term", "doc_id", "elem", "doc_len"]
 
@@ -76,17 +77,31 @@ def build_postings(stacked: DataFrame, buckets: int = 1, spread: int = 1) -> Dat
     by a share of the documents so that a term found everywhere is spread too. The aggregate and the
     table layout both use that placement.
     """
-    placed = terms_of(stacked).withColumns(
-        {
-            "bucket": F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"),
-            "shard": F.pmod(F.xxhash64("doc_id"), F.lit(spread)).cast("int"),
-        }
-    ).repartition("field", "analyzer", "bucket", "shard")
     positional = F.col("analyzer").isin(*text.POSITIONAL)
-    return placed.groupBy(*POSTING_KEYS).agg(
-        F.count("*").alias("tf"),
-        F.min("pos").alias("first_pos"),
-        F.array_sort(F.collect_list(F.when(positional, F.col("pos")))).alias("positions"),
+    counts = [F.count("*").alias("tf"), F.min("pos").alias("first_pos")]
+    positions = F.array_sort(F.collect_list("pos"))
+    with_positions = _placed(stacked.filter(positional), buckets, spread).groupBy(*POSTING_KEYS).agg(
+        *counts, positions.alias("positions")
+    )
+    # Plain counts stay in the hash aggregate; n-grams are most of all rows.
+    counted = _placed(stacked.filter(~positional), buckets, spread).groupBy(*POSTING_KEYS).agg(*counts)
+    return with_positions.unionByName(counted.withColumn("positions", F.array().cast("array<int>")))
+
+
+def term_bucket(buckets: int) -> SparkColumn:
+    return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+
+
+def _placed(stacked: DataFrame, buckets: int, spread: int) -> DataFrame:
+    return (
+        terms_of(stacked)
+        .withColumns(
+            {
+                "bucket": term_bucket(buckets),
+                "shard": F.pmod(F.xxhash64("doc_id"), F.lit(spread)).cast("int"),
+            }
+        )
+        .repartition("field", "analyzer", "bucket", "shard")
     )
 
 
@@ -131,7 +146,7 @@ def build_field_stats(postings: DataFrame, lengths: DataFrame) -> DataFrame:
 
 def term_counts(df: DataFrame, value: str, analyzer: str, key: str) -> DataFrame:
     """``(term, df, tf)`` of one text column: an analyzer run as a job of its own."""
-    stacked = df.select(
+    stacked = widen(df).select(
         F.col(key).alias("doc_id"),
         F.lit(value).alias("field"),
         F.lit(analyzer).alias("analyzer"),
@@ -144,5 +159,5 @@ def term_counts(df: DataFrame, value: str, analyzer: str, key: str) -> DataFrame
 
 def vocabulary_stems(df: DataFrame, value: str) -> DataFrame:
     """Every distinct word of a text column with its stem."""
-    vocabulary = df.select(F.explode(text.folded_words(F.col(value))).alias("term")).distinct()
+    vocabulary = widen(df).select(F.explode(text.folded_words(F.col(value))).alias("term")).distinct()
     return with_stem(vocabulary.withColumn("stem", F.col("term")), "stem")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from indexloom.functions import fixed_values as fixed
 from indexloom.operators.joins import fits_broadcast
+from indexloom.operators.postings import term_bucket
 from indexloom.sources.store import Index
 
 SCORE_DIGITS = 6
@@ -44,17 +45,18 @@ def with_statistics(terms: DataFrame, index: Index) -> DataFrame:
 
 
 def match_postings(index: Index, terms: DataFrame, postings: DataFrame | None = None) -> DataFrame:
-    """Postings of the query terms.
+    """Postings of the query terms; only their fields, analyzers and term buckets are read.
 
     ``terms`` is a written table, so Catalyst knows its size. If it is too large to broadcast, postings
     meet it by (field, analyzer, term, shard): no term's list of documents lands in one task.
     """
     postings = index.postings if postings is None else postings
-    keys = ["field", "analyzer", "term"]
+    keys = ["field", "analyzer", "bucket", "term"]
+    terms = terms.withColumn("bucket", term_bucket(index.buckets))
     if not fits_broadcast(terms) and index.spread > 1:
         terms = terms.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(index.spread - 1))))
         keys = [*keys, "shard"]
-    return postings.join(terms.filter(F.col("need") > 0), keys)
+    return postings.join(terms.filter(F.col("need") > 0), keys).drop("bucket")
 
 
 def one_per_document(matches: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -66,7 +68,7 @@ def one_per_document(matches: DataFrame, lengths: DataFrame) -> DataFrame:
 
 def term_scores(index: Index, terms: DataFrame, many_fields=()) -> DataFrame:
     """``(qid, doc_id, clause, field, analyzer, slot, need, score)`` for every matching posting."""
-    columns = ["field", "analyzer", "term", "doc_id", "doc_len", "tf", "shard"]
+    columns = ["field", "analyzer", "bucket", "term", "doc_id", "doc_len", "tf", "shard"]
     if many_fields:
         columns.append("elem")
     matches = match_postings(index, terms, index.postings.select(columns))
@@ -139,7 +141,7 @@ def phrase_scores(
 
     ``slot`` is the position in the query. A prefix slot adds 1 in place of its idf.
     """
-    columns = ["field", "analyzer", "term", "doc_id", "doc_len", "elem", "positions", "shard"]
+    columns = ["field", "analyzer", "bucket", "term", "doc_id", "doc_len", "elem", "positions", "shard"]
     matches = match_postings(index, terms, index.postings.select(columns))
     if many_fields:
         single = ~F.col("field").isin(list(many_fields))

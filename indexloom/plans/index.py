@@ -81,7 +81,7 @@ def build_index(
     columns = searched_columns(entity, settings)
     buckets, shards = layout(plan_bytes(documents.docs))
     postings = _write_postings(_analyse(documents, columns, buckets, shards), path)
-    index = Index(documents.docs, documents.values, postings, None, None, None, shards)
+    index = Index(documents.docs, documents.values, postings, None, None, None, buckets, shards)
     return _with_statistics(index, columns, path)
 
 
@@ -131,14 +131,13 @@ def upsert_index(
     built = build_documents(entity, tables, settings)
     fresh = _write_documents(Documents(conform_types(built.docs, entity, settings), built.values), staged)
     ids = fresh.docs.select("doc_id")
-    buckets = (index.postings.select(F.max("bucket")).first()[0] or 0) + 1
     columns = searched_columns(entity, settings)
-    postings = _analyse(fresh, columns, buckets, index.spread)
+    postings = _analyse(fresh, columns, index.buckets, index.spread)
     merged = Documents(
         merge_rows(index.docs, fresh.docs, ids), merge_rows(index.values, fresh.values, ids)
     )
     documents = _write_documents(merged, path)
     placed = merge_rows(index.postings, postings, ids).repartition("field", "analyzer", "bucket", "shard")
     postings = _write_postings(placed, path)
-    written = Index(documents.docs, documents.values, postings, None, None, None, index.spread)
+    written = Index(documents.docs, documents.values, postings, None, None, None, index.buckets, index.spread)
     return _with_statistics(written, columns, path)

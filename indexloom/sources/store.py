@@ -43,7 +43,8 @@ class Index:
 
     ``docs``: one row per root row, single-valued columns. ``values``: one row per value of a to-many
     column. ``postings``: one row per term of a value. ``lengths``: length of a document in a to-many
-    field. ``term_stats`` and ``field_stats``: df, N and average length.
+    field. ``term_stats`` and ``field_stats``: df, N and average length. Postings lie in ``buckets`` by
+    term, each in ``spread`` shards by document.
     """
 
     docs: DataFrame
@@ -52,4 +53,5 @@ class Index:
     lengths: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
+    buckets: int = 1
     spread: int = 1

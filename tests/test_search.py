@@ -144,7 +144,7 @@ def test_large_query_tables_use_the_sharded_join(spark, index):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         stacked = postings.subfields(index.docs, index.values, _columns())
-        sharded = replace(index, postings=postings.build_postings(stacked, 2, 3), spread=3)
+        sharded = replace(index, postings=postings.build_postings(stacked, 2, 3), buckets=2, spread=3)
         got = {(r.qid, r.doc_id): r.score for r in ask(spark, sharded, ["ball bearings", "ring"]).matches.collect()}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
