@@ -17,7 +17,6 @@ from indexloom.config import Column
 from indexloom.functions import distance, text
 from indexloom.functions.stem import with_stem
 
-COLUMNS = ["qid", "clause", "field", "analyzer", "slot", "need", "term", "weight", "constant"]
 PREFIX_BLOCK = 64
 
 
