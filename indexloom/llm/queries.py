@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import decontaminate, mixing, quality, simhash, token_files
+from indexloom.llm import decontaminate, mixing, quality, simhash, suffix_dedup, token_files
 from indexloom.llm.common import table
 
 
@@ -41,7 +41,12 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_quality, op4_mixing, op6_token_files)}
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = suffix_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"), length=200, keep_first=False)
+    return rows.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_quality, op4_mixing, op6_token_files, op10_suffix_dedup)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
