@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import decontaminate, mixing, quality, simhash, suffix_dedup, token_files
+from indexloom.llm import chat, decontaminate, html_text, mixing, quality, simhash, suffix_dedup, token_files
 from indexloom.llm.common import table
 
 
@@ -35,18 +35,39 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    rows = html_text.with_main_text(table(spark, folder, "pages"))
+    return rows.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
     files = token_files.write_token_files(table(spark, folder, "documents"), tokenizer, end_id=2)
     return token_files.read_token_files(files)
 
 
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    rows = chat.conversations(chat.read_turns(chat.windows(turns)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return rows.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.col("formatted_chars").cast("long").alias("formatted_chars"),
+    )
+
+
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = suffix_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"), length=200, keep_first=False)
     return rows.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_quality, op4_mixing, op6_token_files, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_quality, op4_mixing, op5_html_text, op6_token_files, op9_chat, op10_suffix_dedup)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
