@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import chat, decontaminate, html_text, mixing, quality, simhash, suffix_dedup, token_files
+from indexloom.llm import chat, decontaminate, html_text, mixing, quality, simhash, suffix_dedup, token_files, winnow
 from indexloom.llm.common import table
 
 
@@ -46,6 +46,19 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
+def op7_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = winnow.edited_fingerprints(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnow.digest(F.col("prints")).alias("fingerprint"),
+        winnow.digest(F.col("edited_prints")).alias("edited_fingerprint"),
+        winnow.likeness(F.col("prints"), F.col("edited_prints")).alias("near_edited"),
+        winnow.likeness(F.col("prints"), F.col("next_prints")).alias("near_next"),
+    )
+
+
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     control = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
@@ -67,7 +80,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_quality, op4_mixing, op5_html_text, op6_token_files, op9_chat, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_quality, op4_mixing, op5_html_text, op6_token_files, op7_winnowing, op9_chat, op10_suffix_dedup)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
