@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import chat, decontaminate, html_text, mixing, quality, simhash, suffix_dedup, token_files, winnow
+from indexloom.llm import chat, decontaminate, html_text, mixing, quality, simhash, suffix_dedup, token_files, url_filters, winnow
 from indexloom.llm.common import table
 
 
@@ -59,6 +59,19 @@ def op7_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as a capture with a day, judged by lists to which every page adds one dated entry."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    id_, url = F.col("page_id"), F.col("url")
+    captures = pages.withColumn("fetched", F.date_add(F.lit("2023-01-01").cast("date"), (id_ * 37 % 1000).cast("int")))
+    domain = F.substring_index(url_filters.host(url), ".", -2)
+    segment = F.concat(url_filters.host(url), F.lit("/"), F.regexp_extract(url, r"://[^/]*/([^/?#]*)", 1), F.lit("/"))
+    pattern = F.when(id_ % 3 == 0, url_filters.host(url)).when(id_ % 3 == 1, segment).otherwise(domain)
+    entries = pages.select((id_ % 5 != 0).alias("blocks"), pattern.alias("pattern"), (id_ % 4 != 0).alias("active"), F.date_add(F.lit("2023-01-01").cast("date"), (id_ * 53 % 900).cast("int")).alias("since"))
+    rows = url_filters.judged(captures, entries)
+    return rows.select("row.page_id", "row.url", F.date_format("row.fetched", "yyyy-MM-dd").alias("fetched"), "blocked", "pattern", "n_active")
+
+
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     control = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
@@ -80,7 +93,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_quality, op4_mixing, op5_html_text, op6_token_files, op7_winnowing, op9_chat, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_quality, op4_mixing, op5_html_text, op6_token_files, op7_winnowing, op8_url_filters, op9_chat, op10_suffix_dedup)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -111,4 +124,16 @@ k AS (SELECT b.source, b.hash, copies + CASE WHEN target - copies * source_size
 SELECT d.doc_id, d.size, k.source_size, k.target, CAST(d.size * k.copies AS BIGINT) AS taken FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source AND d.hash = k.hash
 """
 
-ORACLES = {"op1_decontamination": _OP1, "op4_mixing": _OP4}
+_OP8 = r"""
+WITH p AS (SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, DATE '2023-01-01' + CAST(page_id * 37 % 1000 AS INTEGER) AS day FROM pages),
+e AS (SELECT page_id % 5 <> 0 AS blocks, lower(CASE WHEN page_id % 3 = 0 THEN host WHEN page_id % 3 = 1 THEN host || '/' || regexp_extract(url, '://[^/]*/([^/?#]*)', 1) || '/' ELSE array_to_string(string_split(host, '.')[-2:], '.') END) AS pattern, page_id % 4 <> 0 AS active, DATE '2023-01-01' + CAST(page_id * 53 % 900 AS INTEGER) AS since FROM p),
+d AS (SELECT blocks, pattern, since, bool_or(active) AS active FROM e GROUP BY ALL),
+v AS (SELECT *, lead(since) OVER (PARTITION BY blocks, pattern ORDER BY since) AS until FROM d),
+l AS (SELECT page_id, host, day, list_filter(string_split(host, '.'), lambda x: x <> '') AS labels, list_filter(string_split(path, '/'), lambda x: x <> '') AS segments FROM p),
+k AS (SELECT DISTINCT page_id, day, pattern FROM (SELECT page_id, day, array_to_string(labels[i:], '.') AS pattern FROM l, unnest(range(1, len(labels) + 1)) AS t(i) UNION ALL SELECT page_id, day, host || '/' || array_to_string(segments[:i], '/') || '/' FROM l, unnest(range(1, len(segments) + 1)) AS t(i) WHERE len(labels) > 0)),
+m AS (SELECT page_id, k.pattern, blocks FROM k JOIN v ON k.pattern = v.pattern AND v.active AND v.since <= k.day AND (v.until IS NULL OR k.day < v.until)),
+b AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC, blocks DESC, pattern DESC) AS r, count(*) OVER (PARTITION BY page_id) AS n FROM m)
+SELECT p.page_id, p.url, strftime(p.day, '%Y-%m-%d') AS fetched, coalesce(b.blocks, false) AS blocked, b.pattern, CAST(coalesce(b.n, 0) AS BIGINT) AS n_active FROM p LEFT JOIN b ON p.page_id = b.page_id AND b.r = 1
+"""
+
+ORACLES = {"op1_decontamination": _OP1, "op4_mixing": _OP4, "op8_url_filters": _OP8}
