@@ -1,10 +1,11 @@
 """Document fingerprints by winnowing, with DataFrame functions only.
 
-Every k-gram of code points is hashed; of each window of consecutive hashes the least is chosen, the rightmost of
-equal ones, and kept with its place. Two texts that share a string of ``window + gram - 1`` code points share a
-fingerprint. A hash and its place in a piece of text are packed into one long, so that a plain minimum picks by hash
-and then the rightmost, and window minima come from log2(window) element-wise minima. Texts are taken as UTF-32, so
-that a gram is read in constant time, and in pieces of bounded length, whose windows together are the text's.
+A text's units are its words (of at most 16 letters or digits; longer ones are cut), its other marks, and each letter
+of scripts that don't part words. Every gram of consecutive units is hashed; of each window of consecutive hashes the
+least is chosen, the rightmost of equal ones, and kept with its place. Two texts that share ``window + gram - 1``
+consecutive units share a fingerprint. A hash and its place in a piece of text are packed into one long, so that a
+plain minimum picks by hash and then the rightmost, and window minima come from log2(window) element-wise minima.
+Texts are taken in pieces of a bounded number of units, whose windows together are the text's.
 """
 
 from __future__ import annotations
@@ -14,12 +15,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRAM, WINDOW = 12, 16
+GRAM, WINDOW = 3, 4
 PIECE = 1 << 15
 _PLACE = 17  # bits of a place in a piece
 _MASK = (1 << _PLACE) - 1
-#: Texts of so many code points at least are fingerprinted in two parts, of which an edit at the end changes one.
-PARTED = 256
+UNIT = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]|[\p{L}\p{M}\p{N}]{1,16}|\S"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -42,33 +42,29 @@ def _minima(hashes: Column, window: int) -> Column:
     return F.when(F.size(hashes) <= window, F.array(F.array_min(hashes))).otherwise(F.element_at(steps, 1))
 
 
-def winnowed(utf32: Column, start: Column, end: Column, shift: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """Array of (hash, place) of the code points from ``start`` to before ``end``, in order of place plus ``shift``.
+def fingerprint(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
+    """Array of the chosen (hash, place), in order of place, the number of a gram's first unit; null is empty.
 
-    A text shorter than ``gram`` has one hash, that of all of it; an empty one has none.
+    A text of fewer units than ``gram`` has one hash, that of all of them; one without units has none.
     """
 
-    def piece(data: Column, first: Column, last: Column, from_: Column) -> Column:
+    def piece(units: Column, last: Column, from_: Column) -> Column:
         upto = F.least(last, from_ + PIECE + window - 2)
-        packed = lambda i: F.shiftleft(F.shiftright(F.xxhash64(F.substring(data, 4 * i + 1, F.lit(4 * gram))), _PLACE), _PLACE).bitwiseOR((F.lit(_MASK) - (i - from_)).cast("long"))
-        return _let(F.transform(F.sequence(from_, upto), packed), lambda h: F.transform(F.array_distinct(_minima(h, window)), lambda v: F.struct(F.shiftright(v, _PLACE).alias("hash"), (F.lit(_MASK) - v.bitwiseAND(F.lit(_MASK)) + from_ + shift).alias("place"))))
+        own = lambda i: F.xxhash64(*(F.get(units, i + j) for j in range(gram)))
+        packed = lambda i: F.shiftleft(F.shiftright(own(i), _PLACE), _PLACE).bitwiseOR((F.lit(_MASK) - (i - from_)).cast("long"))
+        place = lambda v: (F.lit(_MASK) - v.bitwiseAND(F.lit(_MASK)) + from_).cast("long")
+        return _let(F.transform(F.sequence(from_, upto), packed), lambda h: F.transform(F.array_distinct(_minima(h, window)), lambda v: F.struct(F.shiftright(v, _PLACE).alias("hash"), place(v).alias("place"))))
 
-    def whole(data: Column) -> Column:
-        last = end - gram
+    def whole(units: Column) -> Column:
+        last = F.size(units) - gram
         # The pieces' first windows; the last piece has at least one whole window, if the text has one.
-        starts = F.sequence(start, F.greatest(start, last - (window - 1)), F.lit(PIECE))
-        long = _once(F.flatten(F.transform(starts, lambda s: piece(data, start, last, s))))
-        short = F.array(F.struct(F.shiftright(F.xxhash64(F.substring(data, 4 * start + 1, 4 * (end - start))), _PLACE).alias("hash"), shift.cast("long").alias("place")))
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), last - (window - 1)), F.lit(PIECE))
+        long = _once(F.flatten(F.transform(starts, lambda s: piece(units, last, s))))
+        short = F.array(F.struct(F.shiftright(F.xxhash64(F.array_join(units, " ")), _PLACE).alias("hash"), F.lit(0).cast("long").alias("place")))
         none = F.array().cast("array<struct<hash: bigint, place: bigint>>")
-        return F.when(end <= start, none).when(end - start < gram, short).otherwise(long)
-
-    return _let(utf32, whole)
+        return F.when(F.size(units) == 0, none).when(F.size(units) < gram, short).otherwise(long)
 
-
-def fingerprint(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """The chosen (hash, place) of a text, in order of place; null is empty."""
-    text = F.coalesce(text, F.lit(""))
-    return winnowed(F.encode(text, "UTF-32"), F.lit(0).cast("long"), F.length(text).cast("long"), F.lit(0).cast("long"), gram, window)
+    return _let(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(UNIT), F.lit(0)), whole)
 
 
 def digest(prints: Column) -> Column:
@@ -125,21 +121,9 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     """
     rows = neighbours(docs, doc_id, text)
     order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")
-    n, q = F.length("text").cast("long"), F.floor(F.length("text") / 4).cast("long")
-    ready = rows.select("doc_id", "text", "bucket", "guest", n.alias("n"), q.alias("q"), F.lead("text").over(order).alias("next"))
-    kept, given = F.substring("text", F.lit(1), (F.col("n") - F.col("q")).cast("int")), F.substring("next", F.lit(1), F.col("q").cast("int"))
-    ready = ready.select("*", F.concat(kept, F.when(F.col("q") > 0, F.coalesce(given, F.lit(""))).otherwise("")).alias("edited")).drop("next")
-    zero, overlap = F.lit(0).cast("long"), gram + window - 2
-    stay = F.col("n") - F.col("q")
-    # A text's windows are those of its first three quarters and those that reach into the rest.
-    head = F.when(F.col("n") >= PARTED, winnowed(F.encode("text", "UTF-32"), zero, stay, zero, gram, window))
-    ready = ready.withColumn("head", head)
-    from_ = F.when(F.col("head").isNotNull(), stay - overlap).otherwise(zero)
-
-    def rest(column: str) -> Column:
-        tail = F.encode(F.substring(column, (from_ + 1).cast("int"), F.length(column)), "UTF-32")
-        own = winnowed(tail, zero, F.length(column) - from_, from_, gram, window)
-        return _once(F.concat(F.coalesce("head", F.array().cast("array<struct<hash: bigint, place: bigint>>")), own))
-
-    ready = ready.withColumn("prints", rest("text")).withColumn("edited_prints", rest("edited")).drop("head", "n", "q")
+    n, q = F.length("text"), F.floor(F.length("text") / 4)
+    ready = rows.select("doc_id", "text", "bucket", "guest", n.cast("int").alias("n"), q.cast("int").alias("q"), F.coalesce(F.lead("text").over(order), F.lit("")).alias("next"))
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n") - F.col("q")), F.substring("next", F.lit(1), F.col("q")))
+    ready = ready.select("doc_id", "text", "bucket", "guest", edited.alias("edited"))
+    ready = ready.withColumn("prints", fingerprint(F.col("text"), gram, window)).withColumn("edited_prints", fingerprint(F.col("edited"), gram, window))
     return ready.withColumn("next_prints", F.lead("prints").over(order)).filter("not guest").drop("guest", "bucket")
