@@ -1,7 +1,8 @@
 """Quality scores by nearest-neighbour voting among labelled latent-semantic vectors.
 
-Texts become counts of hashed byte trigrams. A bounded sample of labelled texts (``sample`` rows, a parameter) is
-weighted by inverse document frequency and reduced to its leading singular directions. The projection and the
+Texts become counts of hashed byte trigrams, and the classes of two shares: words that repeat the one before, and
+capitals among ASCII letters. A bounded sample of labelled texts (``sample`` rows, a parameter) is weighted by inverse
+document frequency and reduced to its leading singular directions. The projection and the
 labelled vectors, whose size depends on parameters alone, are broadcast. Every document is projected and compared
 with all labelled vectors by blocked matrix products; its nearest neighbours vote for their labels, weighted by their
 cosine.
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 
 from indexloom.llm.common import append, packed, unpacked
 
-DIMS, FACTORS, SAMPLE, NEIGHBOURS, FOLDS = 4096, 64, 4000, 15, 5
+DIMS, FACTORS, SAMPLE, NEIGHBOURS, FOLDS = 4096, 64, 4000, 7, 5
 BLOCK = 256
+#: Upper bounds of the classes of repeated words and of capitals, and what a class weighs beside all trigrams.
+REPEATS, CAPITALS, SHAPE = (0.02, 0.1, 0.3), (0.1, 0.5), 0.7
 
 
 def _counts(column: pa.Array, dims: int) -> np.ndarray:
@@ -28,7 +31,7 @@ def _counts(column: pa.Array, dims: int) -> np.ndarray:
     starts = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8)[starts[0] : starts[-1]] if data is not None else np.zeros(0, np.uint8)
-    low = np.where((raw >= 65) & (raw <= 90), raw + 32, raw).astype(np.uint32)
+    low = raw.astype(np.uint32)
     codes = (low[:-2] * 961 + low[1:-1] * 31 + low[2:]) * np.uint32(2654435761) >> np.uint32(8)
     codes = (codes % np.uint32(dims)).astype(np.int64)
     out = np.zeros((len(column), dims), np.float32)
@@ -38,10 +41,27 @@ def _counts(column: pa.Array, dims: int) -> np.ndarray:
     return out
 
 
+def _shapes(column: pa.Array) -> np.ndarray:
+    """One-hot classes of how many words repeat their predecessor and how many letters are capitals."""
+    out = np.zeros((len(column), len(REPEATS) + len(CAPITALS) + 2), np.float32)
+    for i, data in enumerate(column.cast(pa.binary()).to_pylist()):
+        words = (data or b"").split()
+        again = sum(a == b for a, b in zip(words, words[1:], strict=False)) / max(1, len(words))
+        raw = np.frombuffer(data or b"", np.uint8)
+        capital, small = np.count_nonzero((raw >= 65) & (raw <= 90)), np.count_nonzero((raw >= 97) & (raw <= 122))
+        out[i, np.searchsorted(REPEATS, again)] = SHAPE
+        out[i, len(REPEATS) + 1 + np.searchsorted(CAPITALS, capital / max(1, capital + small))] = SHAPE
+    return out
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+def _weighted(counts: np.ndarray, shapes: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    return np.hstack([_unit(np.log1p(counts) * idf), shapes]).astype(np.float32)
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights of the trigrams, the projection, the labelled vectors and their labels; ``prior`` is the mean label."""
@@ -52,16 +72,17 @@ class Model:
     labels: np.ndarray
     prior: float
 
-    def score(self, counts: np.ndarray, neighbours: int) -> np.ndarray:
+    def score(self, counts: np.ndarray, shapes: np.ndarray, neighbours: int) -> np.ndarray:
         if not len(self.labels):
             return np.full(len(counts), self.prior)
-        sims = _unit(_unit(np.log1p(counts) * self.idf) @ self.projection) @ self.vectors.T
+        weighted = _weighted(counts, shapes, self.idf)
+        sims = _unit(weighted @ self.projection) @ self.vectors.T
         k = min(neighbours, sims.shape[1])
         near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
         weights = np.maximum(np.take_along_axis(sims, near, 1), 0).astype(np.float64) ** 4
         total = weights.sum(axis=1)
         voted = (weights * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-12)
-        return np.clip(np.where(total > 1e-12, voted, self.prior), 0, 1)
+        return np.clip(np.where((total > 1e-12) & counts.any(axis=1), voted, self.prior), 0, 1)
 
 
 def held_out(doc_id: str = "doc_id", folds: int = FOLDS):
@@ -77,15 +98,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
     rows = own.join(F.broadcast(chosen), "__id").groupBy("__id").agg(F.min("text").alias("text"), F.first("__label").alias("label"))  # at most `sample` rows are broadcast
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [pa.array([x.tobytes() for at in range(0, len(batch), BLOCK) for x in np.minimum(_counts(batch.column("text").slice(at, BLOCK), dims), 65535).astype(np.uint16)], pa.binary())]
+        column = batch.column("text")
+        parts = [column.slice(at, BLOCK) for at in range(0, len(batch), BLOCK)]
+        counts = [x.tobytes() for p in parts for x in np.minimum(_counts(p, dims), 65535).astype(np.uint16)]
+        return [pa.array(counts, pa.binary()), pa.array([x.tobytes() for p in parts for x in _shapes(p)], pa.binary())]
 
-    found = sorted(append(rows, run, "counts binary").select("__id", "label", "counts").collect(), key=lambda r: r[0])
+    found = sorted(append(rows, run, "counts binary, shapes binary").select("__id", "label", "counts", "shapes").collect(), key=lambda r: r[0])
     if not found:
         return Model(np.zeros(dims, np.float32), np.zeros((dims, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
     counts = np.stack([np.frombuffer(r.counts, np.uint16) for r in found]).astype(np.float32)
     y = np.array([r.label for r in found], np.float64)
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    x = _unit(np.log1p(counts) * idf).astype(np.float32)
+    x = _weighted(counts, np.stack([np.frombuffer(r.shapes, np.float32) for r in found]), idf)
     rank = min(factors, *x.shape)
     q = x.T @ np.random.default_rng(7).standard_normal((len(x), rank + 16)).astype(np.float32)
     for _ in range(3):
@@ -106,7 +130,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", neighbours: int =
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         own, column = Model(*shared.value), batch.column("text")
-        return [pa.array(np.concatenate([own.score(_counts(column.slice(at, BLOCK), len(own.idf)), neighbours) for at in range(0, len(batch), BLOCK)] or [np.zeros(0)]))]
+        return [pa.array(np.concatenate([own.score(_counts(part := column.slice(at, BLOCK), len(own.idf)), _shapes(part), neighbours) for at in range(0, len(batch), BLOCK)] or [np.zeros(0)]))]
 
     return append(packed(docs, text=text), run, "score double").select("row", "score")
 
