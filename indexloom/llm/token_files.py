@@ -150,7 +150,7 @@ class Encoder:
     the model, whatever ASCII marks follow it. Other tokenizers, with ``by_words`` off, encode whole texts.
     """
 
-    WORDS, PIECES = 300_000, 800_000
+    WORDS, PIECES = 600_000, 800_000
     _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%$#&*]*)")
 
     def __init__(self, tokenizer_json: str, by_words: bool):
@@ -185,11 +185,21 @@ class Encoder:
             return self._piece(m[1].lower(), True) + (self._piece(m[2], False) if m[2] else b"")
         return self._piece(word, False) if len(word) <= 64 else self._general(word)
 
+    @staticmethod
+    def _folded(text: str) -> str:
+        """In lower case, which the tokenizer makes it, where Python's rule is surely the same: Latin-1 without specials."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text if "<|" in text else text.lower()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_words:
             return [self._general(x) for x in texts]
         out = []
         for text in texts:
+            text = self._folded(text)
             parts = text.replace("\n", " ").split(" ")
             try:
                 out.append(b"".join(map(self._words.__getitem__, parts)))
@@ -265,7 +275,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part, seq, path in zip(*(batch.column(c).to_pylist() for c in ("part", "seq", "path")), strict=True):
+            for path, first in zip(batch.column("path").to_pylist(), batch.column("first").to_pylist(), strict=True):
                 system, at = _open(path)
                 with system.open_input_stream(at) as source:
                     matrix = WaveletMatrix(source.read())
@@ -273,15 +283,14 @@ def read_token_files(files: DataFrame) -> DataFrame:
                 ends = np.cumsum(sizes)
                 data = memoryview(ids).cast("B")
                 crc = [zlib.crc32(data[4 * (e - s) : 4 * e]) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
-                n = len(sizes)
-                columns = [pa.array([part] * n), pa.array([seq] * n), pa.array(matrix.meta["docs"], pa.int64()), pa.array(ends - sizes), pa.array(sizes), pa.array(crc, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["part", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"])
+                columns = [pa.array(matrix.meta["docs"], pa.int64()), pa.array(first + ends - sizes), pa.array(sizes), pa.array(crc, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     # A row for each part; a part's files are ordered by a window of its own.
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     parts = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     inner = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = files.select("part", "seq", inner.alias("inner")).join(parts, "part").select("part", "seq", (F.col("before") + F.col("inner")).alias("first"))
-    tasks = files.select("part", "seq", "path").repartition(F.col("path"))
-    rows = tasks.mapInArrow(run, "part long, seq long, doc_id long, inside long, n_tokens long, ids_crc32 long")
-    return rows.join(starts, ["part", "seq"]).select("doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+    tasks = files.withColumn("inner", inner).join(parts, "part").select("path", (F.col("before") + F.col("inner")).alias("first"))
+    # A fixed number of tasks: rows are paths, whose sizes say nothing of the work.
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tasks.repartition(n, "path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
