@@ -30,6 +30,8 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
 #: Text that no reader sees or that is a control; it is never content.
 HIDDEN = RAW | frozenset("head button select option input".split())
 
+SHARED = 0.4
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _PART = re.compile(r"[a-z]+")
@@ -139,7 +141,7 @@ class Model:
     root: float
 
 
-def train(pages: tuple[str, ...] = PAGES, smoothing: float = 0.5) -> Model:
+def train(pages: tuple[str, ...] = PAGES, smoothing: float = 0.1) -> Model:
     """Count potentials in pages whose content elements are marked ``data-main`` and whose other ones inside them ``data-not``."""
     seen, edges, totals = (Counter(), Counter()), Counter(), [0, 0]
     for html in pages:
@@ -153,7 +155,8 @@ def train(pages: tuple[str, ...] = PAGES, smoothing: float = 0.5) -> Model:
             seen[label].update(found)
     names = seen[0].keys() | seen[1].keys()
     rate = lambda y, f: (seen[y][f] + smoothing) / (totals[y] + 2 * smoothing)
-    evidence = {f: math.log(rate(1, f) / rate(0, f)) for f in names}
+    # An element's text is its ancestors' text as well, so what it looks like counts for less than names do.
+    evidence = {f: math.log(rate(1, f) / rate(0, f)) * (1.0 if f.startswith(("tag:", "word:")) else SHARED) for f in names}
     pair = lambda p, c: math.log((edges[p, c] + smoothing) / (edges[p, 0] + edges[p, 1] + 2 * smoothing))
     return Model(evidence, (pair(0, 0), pair(0, 1), pair(1, 0), pair(1, 1)), -4.0)
 

@@ -32,7 +32,7 @@ def _inner(html: str) -> str:
     return html.replace(" class=", " data-not class=", 1) if " class=" in html.split(">")[0] else html.replace(">", " data-not>", 1)
 
 
-PAGES = tuple(
+_WHOLE = tuple(
     _page(body)
     for body in (
         f"{_NAV}{_ADVERT}<article data-main>{_STORY}</article>{_FOOTER}",
@@ -47,3 +47,28 @@ PAGES = tuple(
         f"{_NAV}{_SIDE}{_ADVERT}{_FORM}{_FOOTER}",
     )
 )
+
+_CLUTTER = (_NAV, _MENU, _HEADER, _FOOTER, _ADVERT, _ADVERT2, _SIDE, _SIDE2, _NOTICE, _NOTICE2, _FORM, _SHARE, _CRUMBS, _COMMENTS, _COMMENTS2)
+_CLUTTER += tuple(
+    f'<{tag} class="{words}"><p>{text}</p></{tag}>'
+    for tag, words, text in (
+        ("div", "ads", "Ten tyres for the price of nine."),
+        ("div", "promo advertisement", "A loan in a day, at a fair rate."),
+        ("section", "related posts", "Read next: the mills of the north."),
+        ("div", "cookie-consent", "This site keeps cookies. Accept them to go on."),
+        ("div", "popup newsletter", "Get our letter each week, free of charge."),
+        ("div", "comments-area", "Bob wrote: I was there that day, and it was hot."),
+        ("ul", "pagination pager", "Next page"),
+        ("div", "disclaimer notice", "This text is not advice. Ask a lawyer."),
+    )
+)
+#: Each piece of clutter before, after and inside the content of a page.
+PAGES = _WHOLE + tuple(
+    _page(page)
+    for piece in _CLUTTER
+    for page in (
+        f"{piece}<article data-main>{_STORY}</article>{_FOOTER}",
+        f"{_NAV}<div class='post-content' data-main>{_STORY}</div>{piece}",
+        f"{_NAV}<article data-main>{_RICH}{_inner(piece)}{_P}</article>{_FOOTER}",
+    )
+)
