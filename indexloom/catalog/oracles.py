@@ -147,7 +147,7 @@ def _values(rows) -> str:
 
 
 PRODUCT_Q = f"SELECT * FROM {_values(PRODUCT_QUERIES)} t(qid, text)"
-BENCH_Q = f"SELECT CAST(item_id AS VARCHAR) AS qid, array_to_string(list_slice({words('text')}, 2, 3), ' ') AS text FROM benchmark"
+BENCH_Q = "SELECT CAST(item_id AS VARCHAR) AS qid, text FROM benchmark"
 
 
 def index_ctes(entity: str, queries: str = "SELECT '' AS qid, '' AS text WHERE false") -> str:
@@ -210,10 +210,7 @@ def sub_field(clause: str, analyzer: str) -> str:
     )
 
 
-FUZZY_D = (
-    "CASE WHEN length(a) = length(b) AND a <> b AND length(a) > 1 AND list_contains(list_transform(range(1, length(a)), "
-    "lambda i: left(a, CAST(i AS INTEGER) - 1) || substr(a, i + 1, 1) || substr(a, i, 1) || substr(a, i + 2)), b) THEN 1 ELSE levenshtein(a, b) END"
-)
+FUZZY_D = "damerau_levenshtein(a, b)"
 FUZZY = f"""SELECT qid, 'main', field, analyzer, slot, n, b, 1.0::DOUBLE - d / least(length(a), length(b)), false FROM (
   SELECT qid, field, analyzer, slot, n, a, b, {FUZZY_D} AS d FROM (
     SELECT qid, qs.field, qs.analyzer, slot, n, qs.term AS a, tst.term AS b FROM qs JOIN tst
@@ -314,6 +311,15 @@ FROM freq JOIN lens USING (doc_id, field) JOIN fst USING (field, analyzer) WHERE
 
 
 LINES = "(SELECT l_partkey AS doc_id, l_returnflag AS flag, l_linestatus AS status, l_quantity AS quantity FROM lineitem)"
+#: The to-many text values of a product, each column folded: the leading run of equal values counts once.
+LINE_VALUES = """line_rows AS (
+  SELECT l_partkey AS doc_id, l_orderkey AS a, l_linenumber AS b, CAST(round(l_extendedprice * 100) AS BIGINT) AS c,
+    unnest(['lines__flag_code', 'lines__status_en', 'lines__status_lv']) AS field, unnest([l_returnflag, l_linestatus, l_linestatus]) AS value
+  FROM lineitem JOIN part ON p_partkey = l_partkey),
+line_runs AS (SELECT *, first_value(value) OVER w AS v1, row_number() OVER w AS n FROM line_rows WHERE value <> ''
+  WINDOW w AS (PARTITION BY doc_id, field ORDER BY a, b, c)),
+line_ends AS (SELECT doc_id, field, min(n) AS k FROM line_runs WHERE value <> v1 GROUP BY ALL),
+line_values AS (SELECT doc_id, field, a, b, c, value FROM line_runs LEFT JOIN line_ends USING (doc_id, field) WHERE n = 1 OR n >= k)"""
 FRAGS = r"regexp_extract_all(text, '(?s).{1,150}(?:\s|$)')"
 RUNS = r"regexp_extract_all(frag, '[\p{L}\p{N}]+|[^\p{L}\p{N}]+')"
 
@@ -330,8 +336,9 @@ ORACLES.update(
             value AS price_with_tax, TRY_CAST(event_type AS DOUBLE) AS amount, CAST(trunc(value) AS BIGINT) AS seen_id,
             CAST(CAST(ts AS DATE) AS TIMESTAMP) AS created_at, event_type AS name FROM events""",
         "search_fields_filter": f"WITH {index_ctes('Product')} SELECT field, analyzer, CAST(sum(tf) AS BIGINT) AS n_terms FROM post GROUP BY ALL",
-        "subfields": f"""WITH {index_ctes('Product')} SELECT doc_id, field, analyzer, value FROM sf
-            WHERE regexp_matches(field, '(^|__)(title_en|title_lv|slug_en|slug_lv|code|size_terms)$')""",
+        "subfields": f"""WITH {index_ctes('Product')}, {LINE_VALUES} SELECT doc_id, field, analyzer, '' AS elem, value FROM sf
+            UNION ALL SELECT doc_id, field, unnest(CASE WHEN field = 'lines__flag_code' THEN ['keyword', 'code', 'autocomplete']
+            ELSE ['full_text_en', 'keyword', 'autocomplete'] END) AS analyzer, concat_ws('.', a, b, c) AS elem, value FROM line_values""",
         "project_fields": f"WITH {PDOC} SELECT id, code, price FROM product",
         "project_relation": f"""WITH {PDOC} SELECT product.id AS product, s_suppkey AS manufacture_id, replace(s_name, '#', ' ') AS manufacture_title,
             CAST(round(l_extendedprice * 100) AS BIGINT) AS line_id, l_quantity AS line_quantity
@@ -344,8 +351,8 @@ ORACLES.update(
             k AS (SELECT doc_id, min(n) AS k FROM o WHERE value <> v1 GROUP BY 1)
             SELECT doc_id, ord, value FROM o LEFT JOIN k USING (doc_id) WHERE n = 1 OR n >= k""",
         "merge_multi_value": rf"""WITH w AS (SELECT conv_id, turn, unnest(l) AS c, generate_subscripts(l, 1) AS p FROM
-              (SELECT conv_id, turn, {words('text')} AS l FROM conversations)),
-            v AS (SELECT conv_id, turn, lower(left(c, 1)) AS c, row_number() OVER (PARTITION BY conv_id, turn ORDER BY p) AS n FROM w WHERE left(c, 1) <> 'd'),
+              (SELECT conv_id, turn, string_split_regex(lower(text), '[ .\n]') AS l FROM conversations)),
+            v AS (SELECT conv_id, turn, c, row_number() OVER (PARTITION BY conv_id, turn ORDER BY p) AS n FROM w WHERE c <> ''),
             f AS (SELECT *, first_value(c) OVER (PARTITION BY conv_id, turn ORDER BY n) AS v1 FROM v),
             k AS (SELECT conv_id, turn, min(n) AS k FROM f WHERE c <> v1 GROUP BY ALL),
             m AS (SELECT conv_id, turn, string_agg(c, ',' ORDER BY n) AS merged FROM f LEFT JOIN k USING (conv_id, turn) WHERE n = 1 OR n >= k GROUP BY ALL)
@@ -372,8 +379,8 @@ ORACLES.update(
         "locale_analyzer": f"""SELECT *, 'full_text_en' AS analyzer FROM ({term_counts("documents", "doc_id", "text", folded_words("v"), True, "lang = 'en'")})
             UNION ALL SELECT *, 'full_text_lv' FROM ({term_counts("documents", "doc_id", "text", folded_words("v"), False, "lang <> 'en'")})""",
         "build_postings": f"""WITH {index_ctes('Article')} SELECT field, analyzer, term, doc_id, count(*) AS tf, len AS doc_len,
-            string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) AS positions FROM occ JOIN lens USING (doc_id, field, analyzer)
-            WHERE analyzer = 'full_text_en' GROUP BY field, analyzer, term, doc_id, len""",
+            CASE WHEN analyzer = 'full_text_en' THEN string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) END AS positions FROM occ JOIN lens USING (doc_id, field, analyzer)
+            GROUP BY field, analyzer, term, doc_id, len""",
         "build_field_stats": f"""WITH {index_ctes('Product')} SELECT field, analyzer, term, df, ctf, n_docs, round(avg_len, 6) AS avg_len
             FROM tst JOIN fst USING (field, analyzer)""",
         "q_match_all": f"""WITH {PDOC}, q AS (SELECT * FROM {_values(PRODUCT_QUERIES + BLANK_QUERIES)} t(qid, text))

@@ -45,9 +45,8 @@ def _rows(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
 
 
 def _benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
-    """The second and third word of every benchmark text as a query."""
-    words = F.array_join(F.slice(T.words(F.col("text")), 2, 2), " ")
-    return scan_entity(spark, folder, "benchmark").select(F.col("item_id").cast("string").alias("qid"), words.alias("text"))
+    """Every benchmark text as a query."""
+    return scan_entity(spark, folder, "benchmark").select(F.col("item_id").cast("string").alias("qid"), "text")
 
 
 def _settings(entity: Entity) -> Settings:
@@ -146,8 +145,7 @@ def search_fields_filter(spark, folder):
 
 def subfields(spark, folder):
     index = _index(spark, folder, "Product")
-    columns = [c for c in document_columns(E.PRODUCT, E.SETTINGS) if c.base in ("title", "slug", "code", "size_terms")]
-    return postings.subfields(index.docs, None, columns).select("doc_id", "field", "analyzer", "value")
+    return postings.subfields(index.docs, index.values, document_columns(E.PRODUCT, E.SETTINGS)).select("doc_id", "field", "analyzer", "elem", "value")
 
 
 def project_fields(spark, folder):
@@ -195,10 +193,10 @@ def join_to_many(spark, folder):
 
 
 def merge_multi_value(spark, folder):
-    """Each conversation text folded as an array of its words' first letters."""
-    letters = F.transform(T.words(F.col("text")), lambda w: F.when(F.left(w, F.lit(1)) != "d", F.lower(F.left(w, F.lit(1)))))
-    rows = scan_entity(spark, folder, "conversations").select("conv_id", "turn", letters.alias("letters"))
-    return rows.select("conv_id", "turn", F.array_join(V.merge_multi_value(F.col("letters")), ",").alias("merged"))
+    """Each conversation text folded as an array of its words; blanks lie between stops and spaces."""
+    words = F.split(F.lower("text"), "[ .\n]")
+    rows = scan_entity(spark, folder, "conversations").select("conv_id", "turn", words.alias("words"))
+    return rows.select("conv_id", "turn", F.array_join(V.merge_multi_value(F.col("words")), ",").alias("merged"))
 
 
 def drop_empty(spark, folder):
@@ -276,10 +274,8 @@ def locale_analyzer(spark, folder):
 
 def build_postings(spark, folder):
     index = _index(spark, folder, "Article")
-    return index.postings.filter("analyzer = 'full_text_en'").select(
-        "field", "analyzer", "term", "doc_id", "tf", F.col("doc_len").cast("bigint").alias("doc_len"),
-        F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"),
-    )
+    positions = F.when(F.col("analyzer") == "full_text_en", F.array_join(F.col("positions").cast("array<string>"), " "))
+    return index.postings.select("field", "analyzer", "term", "doc_id", "tf", F.col("doc_len").cast("bigint").alias("doc_len"), positions.alias("positions"))
 
 
 def build_field_stats(spark, folder):

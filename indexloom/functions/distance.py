@@ -21,14 +21,24 @@ def allowed_distance(term: str) -> str:
     return f"CASE WHEN char_length({term}) <= 2 THEN 0 WHEN char_length({term}) <= 5 THEN 1 ELSE 2 END"
 
 
+def _swaps(word: str) -> str:
+    """All words that one swap of neighbours makes of a word."""
+    swap = f"concat(left({word}, i - 1), substring({word}, i + 1, 1), substring({word}, i, 1), substring({word}, i + 2))"
+    return f"transform(sequence(1, greatest(char_length({word}) - 1, 1)), i -> {swap})"
+
+
 def edit_distance(a: str, b: str, limit: int = 2) -> str:
-    """Levenshtein distance up to ``limit`` (-1 above), where one swap of neighbours costs 1."""
-    swap = f"concat(left({a}, i - 1), substring({a}, i + 1, 1), substring({a}, i, 1), substring({a}, i + 2))"
-    swapped = (
-        f"char_length({a}) = char_length({b}) AND char_length({a}) >= 2 AND {a} <> {b} "
-        f"AND exists(sequence(1, greatest(char_length({a}) - 1, 1)), i -> {swap} = {b})"
-    )
-    return f"CASE WHEN {swapped} THEN 1 ELSE levenshtein({a}, {b}, {limit}) END"
+    """Damerau's distance up to ``limit``, at most 2 (-1 above): insert, delete, replace, swap of neighbours.
+
+    Of two edits each may be a swap: one in ``a`` or in ``b`` and another edit, or one in either.
+    """
+    far = limit + 1
+    at_most = lambda x, y, n: f"CASE WHEN levenshtein({x}, {y}, {n}) < 0 THEN {far} ELSE levenshtein({x}, {y}, {n}) END"
+    one_side = lambda x, y: f"array_min(transform({_swaps(x)}, w -> 1 + {at_most('w', y, limit - 1)}))"
+    both = f"CASE WHEN char_length({a}) = char_length({b}) AND arrays_overlap({_swaps(a)}, {_swaps(b)}) THEN 2 ELSE {far} END"
+    swapped = f"least({at_most(a, b, limit)}, {one_side(a, b)}, {one_side(b, a)}, {both})"
+    near = f"CASE WHEN least(char_length({a}), char_length({b})) >= 2 THEN {swapped} ELSE {at_most(a, b, limit)} END"
+    return f"(CASE WHEN {a} = {b} THEN 0 WHEN {near} > {limit} THEN -1 ELSE {near} END)"
 
 
 def _shorter(word: str, at: str) -> str:

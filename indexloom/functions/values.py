@@ -56,11 +56,12 @@ def number_as_text(value: Column) -> Column:
     return F.when(whole, value.cast("bigint").cast("string")).otherwise(value.cast("string"))
 
 
-def as_text(value: Column, dtype: str) -> Column:
+def as_text(value: Column, dtype: str, false: str = "0") -> Column:
+    """``false`` is what a false flag reads: a value of its own in a to-many field, nothing in a computed one."""
     if dtype in ("double", "float"):
         return number_as_text(value)
     if dtype == "boolean":
-        return F.when(value, F.lit("1")).otherwise(F.lit(""))
+        return F.when(value, F.lit("1")).otherwise(F.lit(false))
     return value.cast("string")
 
 

@@ -68,9 +68,10 @@ def join_to_one(
 class _Builder:
     def __init__(self, entity: Entity, tables: dict[str, DataFrame], settings: Settings):
         self.entity, self.tables, self.settings = entity, tables, settings
-        self.many: list[DataFrame] = []
+        #: Rows of each to-many relation, with the length of ``ord`` after each to-many level above them.
+        self.many: list[tuple[tuple[int, ...], DataFrame]] = []
 
-    def attach(self, df: DataFrame, tree, path: str, present: str | None, keys: list[str]):
+    def attach(self, df: DataFrame, tree, path: str, present: str | None, keys: list[str], levels: tuple[int, ...] = ()):
         """Join everything below ``path`` to ``df``; returns the rows and their leaves."""
         fields, below = _fields_and_relations(tree)
         leaves = [_Leaf(f"{path}.{f}" if path else f, _raw(path, f), present) for f in fields]
@@ -81,18 +82,18 @@ class _Builder:
             relation = self.entity.relations[child_path]
             parent_column = _raw(path, relation.parent_key)
             if relation.many:
-                self.attach_many(df.select(*keys, parent_column), subtree, child_path, parent_column)
+                self.attach_many(df.select(*keys, parent_column), subtree, child_path, parent_column, levels)
                 continue
             table = self.tables[relation.table]
             child = _level(table, subtree, child_path, self.entity.relations, (relation.key,))
             flag = _raw(child_path, "present_")
             child = child.withColumn("_join_key", F.col(_raw(child_path, relation.key)))
             df = join_to_one(df, child, parent_column, "_join_key", flag)
-            df, more = self.attach(df, subtree, child_path, flag, keys)
+            df, more = self.attach(df, subtree, child_path, flag, keys, levels)
             leaves += more
         return df, leaves
 
-    def attach_many(self, parents: DataFrame, tree, path: str, parent_column: str) -> None:
+    def attach_many(self, parents: DataFrame, tree, path: str, parent_column: str, levels: tuple[int, ...]) -> None:
         relation = self.entity.relations[path]
         table = self.tables[relation.table]
         extra = (relation.key, *relation.order_by)
@@ -104,18 +105,16 @@ class _Builder:
         order = F.array([F.col(_raw(path, c)).cast("bigint") for c in relation.order_by])
         ordered = F.concat(F.col("ord"), order) if "ord" in parents.columns else order
         rows = rows.withColumn("ord", ordered)
-        rows, leaves = self.attach(rows, tree, path, None, ["doc_id", "ord"])
+        levels = (*levels, (levels[-1] if levels else 0) + len(relation.order_by))
+        rows, leaves = self.attach(rows, tree, path, None, ["doc_id", "ord"], levels)
         pairs = [
             F.struct(F.lit(name).alias("field"), V.as_text(column, dtype).alias("value"))
             for leaf in leaves
             for name, column, dtype in self.columns(rows, leaf)
         ]
         exploded = rows.select("doc_id", "ord", F.explode(F.array(*pairs)).alias("v"))
-        self.many.append(
-            exploded.select("doc_id", "v.field", "ord", "v.value").filter(
-                F.col("value").isNotNull() & (F.col("value") != "")
-            )
-        )
+        kept = exploded.select("doc_id", "v.field", "ord", "v.value").filter(F.col("value").isNotNull() & (F.col("value") != ""))
+        self.many.append((levels, kept))
 
     def columns(self, df: DataFrame, leaf: _Leaf) -> list[tuple[str, Column, str]]:
         """The document columns of one source column: (name, expression, type)."""
@@ -148,29 +147,38 @@ class _Builder:
         return result
 
 
-def fold_values(values: DataFrame) -> DataFrame:
-    """Drop repeats inside the leading run of equal values of each (doc_id, field).
+def fold_values(values: DataFrame, outer: int = 0, inner: int | None = None) -> DataFrame:
+    """Drop repeats inside the leading run of equal items of each (doc_id, field, first ``outer`` parts of ``ord``).
 
-    Only the two smallest first positions over the distinct values of a group are needed, so groups are
-    reduced before any of them meets in one place.
+    An item is what shares the first ``inner`` parts of ``ord``: a child's own values. One value equals another; a
+    child of several values is a list, which equals nothing. Only the two smallest first positions over the distinct
+    items of a group are needed, so groups are reduced before any of them meets in one place.
     """
-    firsts = values.groupBy("doc_id", "field", "value").agg(F.min("ord").alias("first"))
-    order = Window.partitionBy("doc_id", "field").orderBy("first", "value")
+    values = values.withColumn("_group", F.slice("ord", 1, outer))
+    values = values.withColumn("_item", F.col("ord") if inner is None else F.slice("ord", 1, inner))
+    group = ["doc_id", "field", "_group"]
+    items = values.groupBy(*group, "_item").agg(F.count("*").alias("n"), F.min("value").alias("value"))
+    kind = F.struct(F.when(F.col("n") == 1, F.col("value")), F.when(F.col("n") > 1, F.col("_item")))
+    firsts = items.groupBy(*group, kind.alias("kind")).agg(F.min("_item").alias("first"))
+    order = Window.partitionBy(*group).orderBy("first")
     bounds = (
         firsts.withColumn("n", F.row_number().over(order))
         .filter("n <= 2")
-        .groupBy("doc_id", "field")
+        .groupBy(*group)
         .agg(
             F.min(F.when(F.col("n") == 1, F.col("first"))).alias("start"),
             F.min(F.when(F.col("n") == 2, F.col("first"))).alias("change"),
         )
     )
-    kept = (F.col("ord") == F.col("start")) | (F.col("ord") >= F.col("change"))
-    return (
-        skew_join(values, bounds, ["doc_id", "field"])
-        .filter(kept)
-        .select("doc_id", "field", "ord", "value")
-    )
+    kept = (F.col("_item") == F.col("start")) | (F.col("_item") >= F.col("change"))
+    return skew_join(values, bounds, group).filter(kept).select("doc_id", "field", "ord", "value")
+
+
+def fold_levels(values: DataFrame, levels: tuple[int, ...]) -> DataFrame:
+    """Fold each child's own list first, then the lists of its parent's children, up to the document."""
+    for n in range(len(levels) - 1, -1, -1):
+        values = fold_values(values, levels[n - 1] if n else 0, None if n == len(levels) - 1 else levels[n])
+    return values
 
 
 def join_to_many(
@@ -196,11 +204,15 @@ def build_documents(entity: Entity, tables: dict[str, DataFrame], settings: Sett
     types = {name: dtype for name, _, dtype in columns}
     for name, computed in entity.computed.items():
         sources = [field_key(s) for s in computed.source_fields if field_key(s) in docs.columns]
-        column = V.computed_field([V.as_text(F.col(s), types[s]) for s in sources])
+        column = V.computed_field([V.as_text(F.col(s), types[s], "") for s in sources])
         docs, types[name] = docs.withColumn(name, column), "string"
     if not builder.many:
         return Documents(docs, None)
-    return Documents(docs, fold_values(reduce(DataFrame.unionByName, builder.many)))
+    by_levels: dict[tuple[int, ...], list[DataFrame]] = {}
+    for levels, rows in builder.many:
+        by_levels.setdefault(levels, []).append(rows)
+    folded = [fold_levels(reduce(DataFrame.unionByName, rows), levels) for levels, rows in by_levels.items()]
+    return Documents(docs, reduce(DataFrame.unionByName, folded))
 
 
 def conform_types(docs: DataFrame, entity: Entity, settings: Settings) -> DataFrame:
@@ -211,15 +223,3 @@ def conform_types(docs: DataFrame, entity: Entity, settings: Settings) -> DataFr
         *[V.conform(F.col(c), kinds[c].path).alias(c) for c in docs.columns if c in kinds],
     )
 
-
-def collect_values(values: DataFrame, max_items: int = 10_000) -> DataFrame:
-    """Values as arrays per (doc_id, field), for groups of at most ``max_items``.
-
-    Larger groups keep a null array and their count; their values stay readable as rows of ``values``.
-    """
-    sizes = values.groupBy("doc_id", "field").agg(F.count("*").alias("n"))
-    small = skew_join(values, sizes.filter(F.col("n") <= max_items), ["doc_id", "field"])
-    arrays = small.groupBy("doc_id", "field").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "value"))), lambda x: x["value"]).alias("items")
-    )
-    return sizes.join(arrays, ["doc_id", "field"], "left")

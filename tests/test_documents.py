@@ -76,9 +76,27 @@ def test_to_many_values(spark):
         (1, "images__alt_en"): ["Image 1", "Image 2"],
         (1, "images__alt_lv"): ["Attēls 1", "Image 2"],
     }
-    arrays = {(r.field): (r.n, r["items"]) for r in D.collect_values(built.values, 2).collect()}
-    assert arrays["images__url_en"] == (3, None)
-    assert arrays["images__alt_lv"] == (2, ["Attēls 1", "Image 2"])
+
+
+def test_nested_to_many_folds_each_level_and_keeps_false_flags(spark):
+    entity = Entity(
+        name="Shop", table="shop", key="id", index="shops", fields=("id", {"orders": (dict(lines=("code",)), "is_paid")}),
+        relations={"orders": Relation("orders", "id", "shop_id", many=True, order_by=("no",)), "orders.lines": Relation("lines", "id", "order_id", many=True, order_by=("no",))},
+    )
+    lists = {1: [["a", "b"], ["c", "c"]], 2: [["a"], ["a"]], 3: [["a", "a"], ["a"]], 4: [["a"], ["a", "b"]], 5: [["a", "b"], ["a", "b"]], 6: [["a"], ["b"], ["b"]], 7: [["", None], ["a"]]}
+    orders = [(10 * s + n, s, n, n == 0) for s, own in lists.items() for n in range(len(own))]
+    lines = [(10 * s + n, k, code) for s, own in lists.items() for n, codes in enumerate(own) for k, code in enumerate(codes)]
+    tables = {
+        "shop": spark.createDataFrame([(s,) for s in lists], "id long"),
+        "orders": spark.createDataFrame(orders, "id long, shop_id long, no long, is_paid boolean"),
+        "lines": spark.createDataFrame(lines, "order_id long, no long, code string"),
+    }
+    got = {}
+    for r in D.build_documents(entity, tables).values.orderBy("doc_id", "field", "ord").collect():
+        got.setdefault((r.doc_id, r.field), []).append(r.value)
+    folded = {1: "a b c", 2: "a", 3: "a", 4: "a a b", 5: "a b a b", 6: "a b b", 7: "a"}
+    assert {k: " ".join(got[k, "orders__lines__code"]) for k in lists} == folded
+    assert got[1, "orders__is_paid"] == ["1", "0"] and got[6, "orders__is_paid"] == ["1", "0", "0"]
 
 
 def test_mapping_has_title_and_code_subfields():

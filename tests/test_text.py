@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from indexloom.functions import text as T
-from indexloom.functions.distance import neighbours
+from indexloom.functions.distance import edit_distance, neighbours
 from indexloom.functions.stem import with_stem
 from indexloom.operators.postings import term_counts
 
@@ -45,20 +45,29 @@ def test_raw_terms_over_256_characters_are_skipped(spark):
     assert [r.term for r in term_counts(df, "v", "keyword", "id").collect()] == ["x" * 256]
 
 
-def _levenshtein(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-        row = new
-    return row[-1]
-
-
 def _distance(a, b):
-    if len(a) == len(b) and a != b and any(a[:i] + a[i + 1] + a[i] + a[i + 2 :] == b for i in range(len(a) - 1)):
-        return 1
-    return _levenshtein(a, b)
+    """Damerau's distance by the table of Lowrance and Wagner (1975)."""
+    far, seen = len(a) + len(b), {}
+    d = {(-1, -1): far}
+    for i in range(len(a) + 1):
+        d[i, -1], d[i, 0] = far, i
+    for j in range(len(b) + 1):
+        d[-1, j], d[0, j] = far, j
+    for i in range(1, len(a) + 1):
+        last = 0
+        for j in range(1, len(b) + 1):
+            k, m = seen.get(b[j - 1], 0), last
+            if a[i - 1] == b[j - 1]:
+                last = j
+            d[i, j] = min(d[i - 1, j - 1] + (a[i - 1] != b[j - 1]), d[i, j - 1] + 1, d[i - 1, j] + 1, d[k - 1, m - 1] + i - k - 1 + 1 + j - m - 1)
+        seen[a[i - 1]] = i
+    return d[len(a), len(b)]
+
+
+def test_a_swap_and_another_edit(spark):
+    pairs = [("bearings", "beairng", 2), ("abcdef", "abdcfe", 2), ("abcdef", "abdcef", 1), ("xyca", "xyabc", 2), ("xyabc", "xyca", 2), ("abcdef", "badcfe", -1), ("a", "a", 0), ("a", "b", 1), ("", "ab", 2)]
+    df = spark.createDataFrame(pairs, "a string, b string, d int")
+    assert [tuple(r) for r in df.selectExpr("a", "b", f"{edit_distance('a', 'b')} AS d").collect()] == pairs
 
 
 def test_neighbours_equal_brute_force(spark):
