@@ -223,12 +223,13 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, end_id: int, folder:
 
     The rows are ``part`` and ``seq`` (the order of files), ``path``, ``n_docs`` and ``n_tokens``. A file holds whole
     documents and closes at ``shard_tokens``; a longer document makes a longer file. Null texts are empty, null ids
-    come first, rows with one id are in order of their texts. ``folder`` must be shared by all executors; the default
+    come first, rows with one id are in order of a hash of their texts. ``folder`` must be shared by all executors; the default
     is a new one beside the working tables. Repeated tasks write files of other names; only listed ones are read.
     """
     spark = docs.sparkSession
     shared, folder = spark.sparkContext.broadcast(tokenizer_json), folder or new_path(spark, "tokens")
-    order = [F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    # The bounds of ranges are collected, so they are ids and hashes, not texts.
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text").asc(), F.col("text").asc_nulls_first()]
     own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
 
     def run(batches):
@@ -263,7 +264,7 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, end_id: int, folder:
         if names:
             yield close()
 
-    ranged = own.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = own.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     return written(ranged.mapInArrow(run, "part long, seq long, path string, n_docs long, n_tokens long"), "token-files")
 
 
