@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.config import Column, Entity, Settings, column_weights, searched_columns
+from indexloom.config import Column, Entity, Settings, column_weights, document_columns, searched_columns
 from indexloom.functions import fixed_values as fixed
 from indexloom.functions import text
 from indexloom.functions.naming import SPARK_TYPES, detect_type
 from indexloom.operators import query_terms as Q
 from indexloom.operators import ranking, scoring
-from indexloom.operators.filters import filter_documents
+from indexloom.operators.filters import columns_named, filter_documents
 from indexloom.operators.highlight import highlight
 from indexloom.sources.store import Index, written
 
@@ -170,7 +170,9 @@ def search(
     queries = written(queries.select("qid", "text"), "queries")
     limit = settings.page_size if options.limit is None else options.limit
     asked, blank = Q.split_blank(queries)
-    allowed = filter_documents(index.docs, index.values, options.filter) if options.filter else None
+    many = [c.name for c in document_columns(entity, settings) if c.many]
+    options = replace(options, sort=_sort_columns(options.sort, [*index.docs.columns, *many], settings))
+    allowed = filter_documents(index.docs, index.values, options.filter, settings, many) if options.filter else None
     matches, terms = bool_matches(index, entity, asked, allowed, settings, options)
     docs = index.docs if allowed is None else allowed
 
@@ -186,7 +188,7 @@ def search(
     page, all_page = _pages(matches, blank, docs, index, limit, options)
     hits = page.unionByName(all_page)
     hits = written(hits, "hits")
-    totals = _totals(matches, blank, docs, hits, options)
+    totals = _totals(asked, matches, blank, docs, hits, options)
     marked = _highlights(index, entity, settings, hits, terms) if options.highlight is True else None
     source = tables[entity.table]
     root_fields = [f for f in entity.return_fields if isinstance(f, str)] or [entity.key]
@@ -210,6 +212,19 @@ def _pages(matches, blank, docs, index, limit, options) -> tuple[DataFrame, Data
     )
 
 
+def _sort_columns(sort, known: list[str], settings: Settings) -> tuple:
+    """Sort items by column name: a localised field means its column in the fallback locale."""
+    items = []
+    for item in sort:
+        if isinstance(item, tuple):
+            found = columns_named(item[0], known, (settings.fallback_locale,))
+            if not found:
+                raise ValueError(f"no document field {item[0]}")
+            item = (found[0], item[1])
+        items.append(item)
+    return tuple(items)
+
+
 def _with_sort_keys(matches, docs, index, sort):
     for item in sort:
         if isinstance(item, tuple):
@@ -224,11 +239,12 @@ def _with_sort_keys(matches, docs, index, sort):
     return matches.join(keyed, "doc_id"), docs, ranking.sort_columns(sort, docs)
 
 
-def _totals(matches, blank, docs, hits, options) -> DataFrame:
+def _totals(asked, matches, blank, docs, hits, options) -> DataFrame:
     if not options.track_total_hits:
         return hits.groupBy("qid").agg(F.count("*").alias("total"))
     counted = docs.agg(F.count("*").alias("total"))
-    return ranking.total_hits(matches).unionByName(for_each_query(blank, counted).select("qid", "total"))
+    found = asked.select("qid").join(ranking.total_hits(matches), "qid", "left").select("qid", F.coalesce("total", F.lit(0).cast("long")).alias("total"))
+    return found.unionByName(for_each_query(blank, counted).select("qid", "total"))
 
 
 def _highlights(index: Index, entity: Entity, settings: Settings, hits: DataFrame, terms: DataFrame) -> DataFrame:

@@ -166,3 +166,39 @@ def test_fold_of_a_hot_parent_is_exact(spark):
         want += [(parent, *m) for m in mine[:1] + mine[change:]]
     got = [(r.doc_id, r.ord[0], r.value) for r in D.fold_values(df).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_rows_without_a_key_are_spread_and_kept(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        big = spark.createDataFrame([(i, None if i % 3 else i % 7) for i in range(900)], "id long, k long")
+        small = spark.createDataFrame([(k, f"v{k}") for k in range(5)] + [(None, "none")], "k long, v string")
+        joined = joins.skew_join(big, small, ["k"], "left")
+        assert sorted((r.id, r.v) for r in joined.collect() if r.v) == sorted((i, f"v{i % 7}") for i in range(0, 900, 3) if i % 7 < 5)
+        assert joined.count() == 900
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" in plan.split("SortMergeJoin")[1].split("\n")[0]
+        assert joins.skew_join(big, small, ["k"], "left_semi").count() == joins.skew_join(big, small, ["k"]).count() == sum(i % 7 < 5 for i in range(0, 900, 3))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_each_table_is_scanned_once_per_relation(spark, tmp_path):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        names = ("a", "b", "c", "d")
+        tables = {}
+        for name, below in zip(names, (*names[1:], None), strict=True):
+            path = str(tmp_path / name)
+            spark.range(50).selectExpr("id", f"id % 7 AS {below}_id" if below else "id AS x_id", "cast(id AS string) AS title").write.parquet(path)
+            tables[name] = spark.read.parquet(path)
+        entity = Entity(
+            name="A", table="a", key="id", index="as", fields=("title", {"b": ("title", {"c": ("title", {"d": ("title",)})})}),
+            relations={"b": Relation("b", "b_id", "id"), "b.c": Relation("c", "c_id", "id"), "b.c.d": Relation("d", "d_id", "id")},
+        )
+        plan = D.build_documents(entity, tables).docs._jdf.queryExecution().executedPlan().toString()
+        assert [plan.count(f"{tmp_path}/{name}]") for name in names] == [1, 1, 1, 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
