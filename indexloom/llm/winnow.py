@@ -79,7 +79,7 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(left) == 0) & (F.size(right) == 0), 1.0).otherwise(same / (F.size(left) + F.size(right) - same)).cast("double")
 
 
-def neighbours(docs: DataFrame, doc_id: str, text: str, bucket_bytes: int = 8 << 20, most: int = 1 << 14) -> DataFrame:
+def neighbours(docs: DataFrame, doc_id: str, text: str, bucket_bytes: int = 4 << 20, most: int = 1 << 17) -> DataFrame:
     """(doc_id, text, bucket, guest): ranges of ids in buckets, each with the row that follows its last as a guest.
 
     In (guest, doc_id, text) order each row's next document is the next row; after the last document comes the first.
