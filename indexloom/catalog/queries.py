@@ -136,11 +136,12 @@ def conform_types(spark, folder):
 
 
 def search_fields_filter(spark, folder):
-    """Postings per searched column of the products."""
+    """Terms per searched column of the products, out of those of all analysed columns."""
     index = _index(spark, folder, "Product")
     fields = [c.name for c in searched_columns(E.PRODUCT, E.SETTINGS)]
-    kept = index.postings.filter(F.col("field").isin(fields))
-    return kept.groupBy("field", "analyzer").agg(F.sum("tf").alias("n_terms"))
+    analysed = postings.subfields(index.docs, index.values, document_columns(E.PRODUCT, E.SETTINGS))
+    kept = postings.terms_of(analysed.filter(F.col("field").isin(fields)))
+    return kept.groupBy("field", "analyzer").agg(F.count("*").alias("n_terms"))
 
 
 def subfields(spark, folder):

@@ -20,15 +20,18 @@ from indexloom.operators.postings import (
 from indexloom.sources.store import Index, new_path
 
 SHARD_BYTES = 128 << 10
-MAX_SHARDS = 64
+SMALL_SHARDS = 64
+LARGE_SHARD_BYTES = 4 << 30
 BUCKET_BYTES = 16 << 30
-MAX_BUCKETS = 512
 
 
 def layout(size: int) -> tuple[int, int]:
-    """(term buckets, document shards) for the bytes to analyse: small inputs stay in few files."""
-    shards = min(MAX_SHARDS, max(1, -(-size // SHARD_BYTES)))
-    buckets = min(MAX_BUCKETS, max(1, size // BUCKET_BYTES))
+    """(term buckets, document shards) for the bytes to analyse; both grow with them, without a maximum.
+
+    Small inputs get a shard for each 128 KiB up to 64, enough to use all cores; from 256 GiB on one for each 4 GiB.
+    """
+    shards = max(1, min(SMALL_SHARDS, -(-size // SHARD_BYTES)), size // LARGE_SHARD_BYTES)
+    buckets = max(1, size // BUCKET_BYTES)
     return int(buckets), int(shards)
 
 
@@ -79,7 +82,9 @@ def build_index(
     typed = Documents(conform_types(built.docs, entity, settings), built.values)
     documents = _write_documents(typed, path)
     columns = searched_columns(entity, settings)
-    buckets, shards = layout(plan_bytes(documents.docs))
+    # Without to-many columns the values are an empty frame of unknown size.
+    size = plan_bytes(documents.docs) + (plan_bytes(documents.values) if built.values is not None else 0)
+    buckets, shards = layout(size)
     postings = _write_postings(_analyse(documents, columns, buckets, shards), path)
     index = Index(documents.docs, documents.values, postings, None, None, None, buckets, shards)
     return _with_statistics(index, columns, path)
