@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +18,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def packed(df: DataFrame, **columns: str) -> DataFrame:
-    """All columns of ``df`` as the struct ``row``, and copies of those asked for: no other name can clash."""
-    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *(F.col(f"`{c}`").alias(k) for k, c in columns.items()))
+def packed(df: DataFrame) -> DataFrame:
+    """All columns of ``df`` as the struct ``row``, so that no added name can clash; ``held`` reads one of them."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+
+
+def held(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return pc.struct_field(batch.column("row"), [name])
 
 
 def unpacked(df: DataFrame) -> DataFrame:
@@ -38,9 +43,9 @@ def append(df: DataFrame, function: Callable[[pa.RecordBatch], list[pa.Array]],
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
 
 
-def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
+def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a text column; null is empty."""
-    return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
 def row_hash(df: DataFrame):

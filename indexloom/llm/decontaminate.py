@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import append, packed, unpacked, utf8
+from indexloom.llm.common import append, held, packed, unpacked, utf8
 from indexloom.sources.store import written
 
 BLOCK = 200_000
@@ -36,7 +36,7 @@ def item_windows(items: DataFrame, size: int, item_id: str = "item_id", text: st
     def run(batches):
         for batch in batches:
             rows = set()
-            for item, data in zip(batch.column("item").to_pylist(), utf8(batch), strict=True):
+            for item, data in zip(batch.column("item").to_pylist(), utf8(batch.column("text")), strict=True):
                 found = words(data)
                 rows.update((b" ".join(found[i : i + size]), item) for i in range(max(1, len(found) - size + 1)) if found)
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.binary()), pa.array([i for _, i in rows], pa.string())], ["window", "item"])
@@ -52,7 +52,7 @@ def _frequencies(texts: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
     def run(batches):
         counts: Counter = Counter()
         for batch in batches:
-            for data in utf8(batch):
+            for data in utf8(batch.column("text")):
                 counts.update(shared.value.intersection(words(data)))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
@@ -92,7 +92,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, text: str =
     windows = written(item_windows(items, size, item_id, item_text), "windows")
     blocks = max(1, -(-windows.count() // block))
     windows = windows.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(blocks)))
-    result = packed(docs, text=text).withColumns({"hit": F.lit(None).cast("binary"), "items": F.array().cast("array<string>")})
+    result = packed(docs).withColumns({"hit": F.lit(None).cast("binary"), "items": F.array().cast("array<string>")})
     for b in range(blocks):
         rows = [(bytes(r.window), r.item) for r in windows.filter(F.col("block") == b).collect()]
         rarity = _frequencies(texts, {w for window, _ in rows for w in window.split()}) if rows else {}
@@ -100,7 +100,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, text: str =
 
         def probe(batch: pa.RecordBatch, shared=shared) -> list[pa.Array]:
             hits, lists, sizes = [], [], []
-            for data, before, known in zip(utf8(batch), batch.column("hit").to_pylist(), batch.column("items").to_pylist(), strict=True):
+            for data, before, known in zip(utf8(held(batch, text)), batch.column("hit").to_pylist(), batch.column("items").to_pylist(), strict=True):
                 found = words(data)
                 hit, own = bytearray(before or bytes(len(found))), set(known)
                 _mark(found, shared.value, hit, own)
@@ -111,7 +111,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, text: str =
 
         marked = append(result, probe, "hit_now binary, items_now array<string>, n_words long, n_hit long")
         if b + 1 < blocks:
-            result = written(marked.select("row", "text", F.col("hit_now").alias("hit"), F.col("items_now").alias("items")), "marked")
+            result = written(marked.select("row", F.col("hit_now").alias("hit"), F.col("items_now").alias("items")), "marked")
     return marked.select("row", "n_words", "n_hit", F.col("items_now").alias("items"))
 
 

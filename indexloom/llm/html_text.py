@@ -17,7 +17,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from indexloom.llm.common import append, packed
+from indexloom.llm.common import append, held, packed
 from indexloom.llm.html_training import PAGES
 
 # Fixed values of the HTML standard.
@@ -220,6 +220,6 @@ def with_main_text(pages: DataFrame, html: str = "html", model: Model | None = N
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         known = Model(*potentials)
-        return [pa.array([main_text(x, known) if x else "" for x in batch.column("html").to_pylist()], pa.string())]
+        return [pa.array([main_text(x, known) if x else "" for x in held(batch, html).to_pylist()], pa.string())]
 
-    return append(packed(pages, html=html), run, "text string").select("row", "text")
+    return append(packed(pages), run, "text string").select("row", "text")

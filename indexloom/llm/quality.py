@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import append, packed, unpacked
+from indexloom.llm.common import append, held, packed, unpacked
 
 DIMS, FACTORS, SAMPLE, NEIGHBOURS, FOLDS = 4096, 64, 4000, 7, 5
 BLOCK = 256
@@ -129,10 +129,10 @@ def scored(docs: DataFrame, model: Model, text: str = "text", neighbours: int =
     shared = docs.sparkSession.sparkContext.broadcast((model.idf, model.projection, model.vectors, model.labels, model.prior))
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        own, column = Model(*shared.value), batch.column("text")
+        own, column = Model(*shared.value), held(batch, text)
         return [pa.array(np.concatenate([own.score(_counts(part := column.slice(at, BLOCK), len(own.idf)), _shapes(part), neighbours) for at in range(0, len(batch), BLOCK)] or [np.zeros(0)]))]
 
-    return append(packed(docs, text=text), run, "score double").select("row", "score")
+    return append(packed(docs), run, "score double").select("row", "score")
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = 0.3, text: str = "text") -> DataFrame:

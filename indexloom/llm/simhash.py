@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import append, packed, row_hash, utf8
+from indexloom.llm.common import append, held, packed, row_hash, utf8
 from indexloom.llm.components import components
 from indexloom.sources.store import written
 
@@ -53,9 +53,9 @@ def with_fingerprint(docs: DataFrame, shingle: int = 3, text: str = "text") -> D
     """``row`` (all columns of ``docs``) and ``fp``, the fingerprint as a signed long; null is an empty text."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [pa.array(np.array([simhash(x, shingle) for x in utf8(batch)], np.uint64).view(np.int64))]
+        return [pa.array(np.array([simhash(x, shingle) for x in utf8(held(batch, text))], np.uint64).view(np.int64))]
 
-    return append(packed(docs, text=text), run, "fp long").select("row", "fp")
+    return append(packed(docs), run, "fp long").select("row", "fp")
 
 
 def segments(bits: int) -> list[int]:
