@@ -32,8 +32,15 @@ HIDDEN = RAW | frozenset("head button select option input".split())
 
 SHARED = 0.4
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: Attributes as the standard reads them: a quote opens a value only directly after "="; any other is a character of a name or value.
+_NAME = r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+"
+_VALUE = r"[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:\"([^\"]*+)\"?+|'([^']*+)'?+|([^ \t\n\f\r>\"'][^ \t\n\f\r>]*+))?+"
+_ATTRIBUTE = re.compile(rf"({_NAME})(?:{_VALUE})?+")
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^ \t\n\f\r/>]*+)"
+    rf"((?:[ \t\n\f\r/]++|{_NAME}(?:{re.sub(r'[(](?=[^?])', '(?:', _VALUE)})?+)*+)(?:>|\Z)",
+    re.S,
+)
 _PART = re.compile(r"[a-z]+")
 
 

@@ -63,6 +63,18 @@ def test_pages_of_all_kinds_do_not_crash(spark):
     assert html_text.with_main_text(pages.limit(0)).count() == 0
 
 
+def test_stray_quotes_end_with_their_tag():
+    model = html_text.train()
+    plain = "<article><p>Hello, all of you there.</p><p>More text, as it is.</p></article>"
+    want = html_text.main_text(plain, model)
+    assert want == "Hello, all of you there. More text, as it is."
+    for tag in ('<p class="x"">', "<p title=it's>", "<p '>", '<p a"b">', "<p a=b'c>", '<p a = "x>y" \'>', "<p =\">", "<p a/=\">", '<p title="it\'s">', "<p title='a>b'\">", "<p title=>"):
+        assert html_text.main_text(plain.replace("<p>", tag, 1), model) == want, tag
+    assert html_text.main_text(plain.replace("</p>", "</p \">", 1), model) == want
+    page = html_text.parse("<p title=\"class='no'\" CLASS = it's id='a b' role=x\"y z>t")
+    assert page.words[1] == "it's a b x\"y"
+
+
 def slow_prints(text, gram=winnow.GRAM, window=winnow.WINDOW):
     units = regex.findall(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]|[\p{L}\p{M}\p{N}]{1,16}|[^ \t\n\x0b\f\r]", text)
 
