@@ -41,6 +41,8 @@ _TOKEN = re.compile(
     rf"((?:[ \t\n\f\r/]++|{_NAME}(?:{re.sub(r'[(](?=[^?])', '(?:', _VALUE)})?+)*+)(?:>|\Z)",
     re.S,
 )
+#: Searched in the page itself: lower-casing moves places, as U+0130 becomes two characters.
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[ \t\n\f\r/>])", re.I | re.A) for tag in RAW}
 _PART = re.compile(r"[a-z]+")
 
 
@@ -59,7 +61,6 @@ class Page:
 def parse(html: str) -> Page:
     """The elements of a page; unclosed and stray tags are mended as the standard says, in one pass."""
     page, stack, block, at = Page(), [0], 0, 0
-    lower = html.lower()
 
     def text(s: str) -> None:
         if s:
@@ -104,8 +105,8 @@ def parse(html: str) -> Page:
             continue
         stack.append(len(page.tags) - 1)
         if tag in RAW:
-            end = lower.find(f"</{tag}", at)
-            end = len(html) if end < 0 else end
+            closed = _RAW_END[tag].search(html, at)
+            end = closed.start() if closed else len(html)
             text(html[at:end])
             at = end
     text(html[at:])

@@ -75,6 +75,19 @@ def test_stray_quotes_end_with_their_tag():
     assert page.words[1] == "it's a b x\"y"
 
 
+def test_raw_elements_end_at_their_own_tag():
+    model = html_text.train()
+    plain = "<article><p>Hello, all of you there.</p>{}<p>More text, as it is.</p></article>"
+    want = html_text.main_text(plain.format(""), model)
+    letters = "<p>" + "\u0130yi, \u0130stanbul. " * 20 + "</p>"
+    after = html_text.main_text(letters + plain.format(""), model)
+    assert "More text, as it is." in after
+    for raw in ("<script>var a = '<p>no</p>';</script>", "<STYLE>p{}</Style >", "<noscript><p>no</p></noscript/>", "<script>'</scripts>', \u0130, '</\u017fcript>'</SCRIPT>", "<iframe>\u0130\u0130</iframe\n>"):
+        assert html_text.main_text(plain.format(raw), model) == want, raw
+        assert html_text.main_text(letters + plain.format(raw), model) == after, raw
+    assert [text for _, _, text in html_text.parse("a<script>b</script").runs] == ["a", "b</script"]
+
+
 def slow_prints(text, gram=winnow.GRAM, window=winnow.WINDOW):
     units = regex.findall(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]|[\p{L}\p{M}\p{N}]{1,16}|[^ \t\n\x0b\f\r]", text)
 
