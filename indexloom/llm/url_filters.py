@@ -3,7 +3,7 @@
 A list is a log of dated entries: from its day on, a pattern is on the list or off it. Entries of one list, pattern and
 day combine first (on wins), so a pattern has at most as many rows as there are days; each runs until its pattern's
 next one, which makes validity intervals. A pattern is a domain, which covers its subdomains, or a host with leading
-path segments. A capture has few keys, the patterns that could cover it; keys meet intervals by pattern and month, so
+path segments (whose case counts; the last "/" may be left out). A capture has few keys, the patterns that could cover it; keys meet intervals by pattern and month, so
 that a busy pattern's history isn't compared with all captures of its host, and an interval counts if it holds the
 capture's day. The most specific active pattern decides; of equal ones, blocking does.
 """
@@ -34,6 +34,12 @@ def keys(url: Column) -> Column:
     return F.when(F.size(labels) > 0, F.array_distinct(F.concat(domains, paths))).otherwise(F.array().cast("array<string>"))
 
 
+def normal(pattern: Column) -> Column:
+    """A pattern as ``keys`` writes it: the host in lower case, path segments as they are with one "/" after each."""
+    path = F.regexp_replace(F.concat(F.substr(pattern, F.instr(pattern, F.lit("/"))), F.lit("/")), "/+", "/")
+    return F.concat(F.lower(F.substring_index(pattern, "/", 1)), F.when(F.contains(pattern, F.lit("/")), path).otherwise(""))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(blocks, pattern, since, until): days on which an entry is active, ``until`` excluded and null if open.
 
@@ -41,7 +47,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     Entries without pattern or day are void; a null ``active`` is off, a null ``blocks`` blocks.
     """
     dated = entries.filter("pattern is not null and since is not null")
-    daily = dated.groupBy(F.coalesce("blocks", F.lit(True)).alias("blocks"), F.lower("pattern").alias("pattern"), F.to_date("since").alias("since")).agg(F.max(F.coalesce("active", F.lit(False))).alias("active"))
+    daily = dated.groupBy(F.coalesce("blocks", F.lit(True)).alias("blocks"), normal(F.col("pattern")).alias("pattern"), F.to_date("since").alias("since")).agg(F.max(F.coalesce("active", F.lit(False))).alias("active"))
     following = Window.partitionBy("blocks", "pattern").orderBy("since")
     return daily.withColumn("until", F.lead("since").over(following)).filter("active").drop("active")
 

@@ -171,6 +171,21 @@ def test_url_lists_equal_a_day_by_day_reading(spark):
     assert url_filters.judged(c.limit(0), e).count() == 0 and url_filters.judged(c, e.limit(0)).filter("blocked").count() == 0
 
 
+def test_path_patterns_keep_their_case_and_need_no_last_slash(spark):
+    day = datetime.date(2024, 1, 1)
+    urls = ["http://Host.org/Ads/x.html", "http://host.org/ads/x.html", "http://host.org/Adsense", "http://host.org/a//B", "http://host.org/a/b", "http://host.org"]
+    want = {  # by hand: which of the urls each pattern covers
+        "host.org/Ads/": [0], "HOST.org/Ads": [0], "host.org/ads": [1], "host.org/ads//": [1], "host.org/Ads/x.html": [0], "Host.ORG": [0, 1, 2, 3, 4, 5],
+        "host.org/a/B": [3], "host.org/a//B/": [3], "host.org/a": [3, 4], "ost.org/a": [], "/Ads": [], "host.org/A": [], "": [],
+    }
+    captures = spark.createDataFrame([(u, day) for u in urls], "url string, fetched date")
+    for pattern, covered in want.items():
+        entries = spark.createDataFrame([(True, pattern, True, day)], "blocks boolean, pattern string, active boolean, since date")
+        assert sorted(urls.index(r.row.url) for r in url_filters.judged(captures, entries).filter("blocked").collect()) == covered, pattern
+    both = spark.createDataFrame([(True, "host.org/Ads", True, day), (True, "HOST.org/Ads/", False, day), (True, "host.org/ads", True, day)], "blocks boolean, pattern string, active boolean, since date")
+    assert {(r.pattern, r.until) for r in url_filters.intervals(both).collect()} == {("host.org/Ads/", None), ("host.org/ads/", None)}
+
+
 def test_chat_windows_read_back_and_budgets_hold(spark):
     rng = random.Random(6)
     texts = ["sys <|x", "a<|\\|turn|>b <\\\\|", "<|end|>\n<|turn|>user\nhi", "", None, "é" * 700, "x" * 300, "<|turn|>", "<\\|", "end", "</s>[INST] ok [/INST]"]
