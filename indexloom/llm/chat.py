@@ -70,12 +70,16 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, **co
     rows = written(rows.withColumn("window", cell * 2 + crosses), "turns")
     starts = rows.groupBy("conv_id", "window").agg(F.min("before").alias("start"), F.min("place").alias("first"))
     starts = written(starts, "window-starts")
+    # The system turns before a conversation's first other turn open it; each later window retains them. Later ones are history.
+    others = rows.filter(F.col("role") != "system").groupBy("conv_id").agg(F.min("place").alias("stop")).withColumnRenamed("conv_id", "o")
+    system = rows.filter(F.col("role") == "system").join(others, F.col("conv_id").eqNullSafe(F.col("o")), "left").drop("o")
+    opens = F.col("stop").isNull() | (F.col("place") < F.col("stop"))
+    spoken = rows.filter(F.col("role") != "system").unionByName(system.filter(~opens).drop("stop"))
     # A turn is history of the windows that start at most ``history`` tokens after it began; those lie in its own and the next cells.
     near = F.explode(F.sequence(F.col("window") + 1, F.col("window") + 2 * (history // budget + 2) + 1))
-    past = rows.filter(F.col("role") != "system").filter(F.col("tokens") <= history).withColumn("w", near).alias("t").join(starts.alias("s"), F.col("t.conv_id").eqNullSafe(F.col("s.conv_id")) & (F.col("w") == F.col("s.window")))
+    past = spoken.filter(F.col("tokens") <= history).withColumn("w", near).alias("t").join(starts.alias("s"), F.col("t.conv_id").eqNullSafe(F.col("s.conv_id")) & (F.col("w") == F.col("s.window")))
     past = past.filter((F.col("place") < F.col("first")) & (F.col("start") - F.col("before") <= history)).select("t.conv_id", F.col("s.window").alias("window"), "place", "role", "text", F.lit(True).alias("old"))
-    # System turns open a conversation: those among its first turns are retained by each later window.
-    system = rows.filter((F.col("role") == "system") & (F.col("place") == 0)).select(F.col("conv_id").alias("c"), F.col("window").alias("of"), "place", "role", "text")
+    system = system.filter(opens).select(F.col("conv_id").alias("c"), F.col("window").alias("of"), "place", "role", "text")
     retained = starts.join(system, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("window") > F.col("of"))).select("conv_id", "window", "place", "role", "text", F.lit(True).alias("old"))
     new = rows.select("conv_id", "window", "place", "role", "text", F.lit(False).alias("old"))
     every = new.unionByName(past).unionByName(retained)

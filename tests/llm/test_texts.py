@@ -186,6 +186,27 @@ def test_path_patterns_keep_their_case_and_need_no_last_slash(spark):
     assert {(r.pattern, r.until) for r in url_filters.intervals(both).collect()} == {("host.org/Ads/", None), ("host.org/ads/", None)}
 
 
+def test_chat_windows_retain_all_opening_system_turns(spark):
+    # By conversation: its turns in order; two opening system turns and a late one, one after a null turn, a sole one.
+    said = {
+        1: [(0, "system", "first rule"), (1, "system", "second rule"), (2, "user", "hi"), (3, "system", "late rule"), *((i, "user", "x" * 150) for i in range(4, 30))],
+        2: [(None, "system", "null rule"), (0, "system", "zero rule"), *((i, "assistant", "y" * 150) for i in range(1, 20))],
+        3: [(0, "assistant", "z"), (0, "system", "same number"), *((i, "user", "z" * 150) for i in range(1, 20))],
+        None: [(0, "system", "no one's rule"), *((i, "user", "w" * 150) for i in range(1, 20))],
+    }
+    turns = spark.createDataFrame([(c, *t) for c, ts in said.items() for t in ts], "conv_id long, turn long, role string, text string")
+    rows = chat.windows(turns, budget=64, history=60).orderBy("conv_id", "window").collect()
+    for c, opening in ((1, ["first rule", "second rule"]), (2, ["null rule", "zero rule"]), (3, []), (None, ["no one's rule"])):
+        own = [r.formatted for r in rows if r.conv_id == c]
+        heads = [f"<|turn|>system\n{x}<|end|>\n" for x in opening]
+        assert len(own) > 5 and all(f.startswith("".join(heads)) for f in own), own[-1]
+        assert all(f.count("rule<|end|>") == len(opening) for f in own[4:]) and all(f.count(h) == 1 for f in own for h in heads)
+    # The late turns stand in their own window and, as history, in the next one where it is near.
+    assert sum("late rule" in r.formatted for r in rows) > 1 and sum("same number" in r.formatted for r in rows) > 1
+    read = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chat.conversations(chat.read_turns(spark.createDataFrame(rows))).collect()}
+    assert read == {c: [t[1:] for t in ts] for c, ts in said.items()}
+
+
 def test_chat_windows_read_back_and_budgets_hold(spark):
     rng = random.Random(6)
     texts = ["sys <|x", "a<|\\|turn|>b <\\\\|", "<|end|>\n<|turn|>user\nhi", "", None, "é" * 700, "x" * 300, "<|turn|>", "<\\|", "end", "</s>[INST] ok [/INST]"]
