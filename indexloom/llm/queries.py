@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import chat, decontaminate, html_text, mixing, quality, simhash, suffix_dedup, token_files, url_filters, winnow
+from indexloom.llm import chat, decontaminate, hard_negatives, html_text, mixing, ngram_join, quality, simhash, spelling, suffix_dedup, token_files, url_filters, winnow
 from indexloom.llm.common import table
 
 
@@ -93,7 +94,34 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_quality, op4_mixing, op5_html_text, op6_token_files, op7_winnowing, op8_url_filters, op9_chat, op10_suffix_dedup)}
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    id_, label = F.col("vec_id"), F.col("label").cast("long")
+    vectors = table(spark, folder, "embeddings").withColumn("label", F.when(id_ % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.hard_negatives(vectors, id_ % 100 == 0, positives=5, negatives=5, percent=(80, 100), scale=256)
+
+
+def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_classes(table(spark, folder, "documents"), percent=90, shingle=3)
+
+
+def misspelt(doc_id: str, run: str) -> str:
+    """The run, or the run without one letter where a checksum of document and run says so."""
+    at = zlib.crc32(f"{doc_id}:{run}".encode())
+    return run if at % 31 else run[: at % len(run)] + run[at % len(run) + 1 :]
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, folder, "documents"), least_length=7, least_count=2, change=misspelt)
+    return spelling.variants(words, ratio=10)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_simhash, op3_quality, op4_mixing, op5_html_text, op6_token_files, op7_winnowing,
+        op8_url_filters, op9_chat, op10_suffix_dedup, op11_hard_negatives, op12_ngram_join, op13_spelling_variants,
+    )
+}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -136,4 +164,24 @@ b AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(pattern)
 SELECT p.page_id, p.url, strftime(p.day, '%Y-%m-%d') AS fetched, coalesce(b.blocks, false) AS blocked, b.pattern, CAST(coalesce(b.n, 0) AS BIGINT) AS n_active FROM p LEFT JOIN b ON p.page_id = b.page_id AND b.r = 1
 """
 
-ORACLES = {"op1_decontamination": _OP1, "op4_mixing": _OP4, "op8_url_filters": _OP8}
+_OP11 = r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT anchor_id, other, score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS r FROM s WHERE same) WHERE r <= 5),
+n AS (SELECT anchor_id, p.other AS positive_id, p.score AS positive_score, s.other AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY anchor_id, p.other ORDER BY s.score DESC, s.other) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+_OP12 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + least(3, len(w)) - 1], ' ') AS g FROM w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS u(k) WHERE len(w) > 0),
+z AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM t x JOIN t y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM b JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM w LEFT JOIN z USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) USING (doc_id)
+"""
+
+ORACLES = {"op1_decontamination": _OP1, "op4_mixing": _OP4, "op8_url_filters": _OP8, "op11_hard_negatives": _OP11, "op12_ngram_join": _OP12}
