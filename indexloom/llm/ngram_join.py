@@ -35,8 +35,8 @@ BLOCK_SETS = 256
 BLOCK_SHINGLES = 200_000
 #: A shingle in so many samples counts as no rarer than any other such one.
 COMMON = 1 << 16
-#: What reading one entry of a list costs beside writing one subset.
-READ = 0.05
+#: What one entry of a list costs a set that reads it, beside writing one subset: lists are read by blocks.
+READ = 1 / BLOCK_SETS
 #: Names of sets that a task remembers, so that copies give their sample once.
 SEEN = 1 << 20
 
