@@ -220,7 +220,8 @@ def variants(words: DataFrame, ratio: int = 10) -> DataFrame:
     largest n, ties to the smallest in code-point order, if that n is at least ``ratio`` (over 1) times its own; the root
     is the last word that forms lead to, the word itself without a form. Words of any length; an empty table gives none.
     """
-    named, long_ids = _named(words)
+    # Written first: the sort of the long words would count all words a second time.
+    named, long_ids = _named(written(words, "counted"))
     named = written(named, "words")
     rotations = named.mapInArrow(_rotated, "head string, whole boolean, last boolean, id string, n long")
     ordered = rotations.repartition("head").sortWithinPartitions("head")
