@@ -50,7 +50,45 @@ ARTICLE = Entity(
     fields=("text", "lang", "source", "chars_total"),
     return_fields=("id", "lang", "source", "chars_total"),
 )
-ENTITIES = {"Product": PRODUCT, "Manufacture": MANUFACTURE, "Article": ARTICLE}
+#: Customers are found by their orders too.
+CUSTOMER = Entity(
+    name="Customer",
+    table="buyer",
+    key="id",
+    index="customers",
+    translatable=("title",),
+    fields=("title", "code", "width", "outer_dia", {"orders": ("title", "code")}),
+    relations={"orders": Relation("orders_of", "id", "buyer_id", many=True, order_by=("id",))},
+    computed={"size_terms": Computed(("width", "outer_dia"), "size")},
+    return_fields=("id", "code", {"orders": ("id", "title")}),
+)
+#: Products whose price and quantity are searched as numbers.
+PRICED = Entity(
+    name="Priced",
+    table="product",
+    key="id",
+    translatable=("title", "price", "quantity"),
+    fields=("title", "code", "price", "quantity"),
+)
+#: Articles analysed by their own language.
+SPOKEN = Entity(
+    name="Spoken",
+    table="article",
+    key="id",
+    translatable=("text",),
+    fields=("text", "lang", "source"),
+    language="lang",
+)
+SPOKEN_SETTINGS = Settings(index_localized_fields=False, text_analyzer="by_language")
+#: Columns whose names imply other types than their values have.
+EVENT = Entity(
+    name="Event",
+    table="event",
+    key="id",
+    fields=("model_id", "has_total", "price_with_tax", "amount", "seen_id", "created_at", "name"),
+)
+ENTITIES = {"Product": PRODUCT, "Manufacture": MANUFACTURE, "Article": ARTICLE, "Customer": CUSTOMER}
+SETTINGS_OF = {"Article": ARTICLE_SETTINGS, "Priced": ARTICLE_SETTINGS, "Event": ARTICLE_SETTINGS, "Spoken": SPOKEN_SETTINGS}
 
 
 def tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -107,6 +145,29 @@ def tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         ),
         "region": read("region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("title")),
         "lines": lines,
+        "buyer": read("customer").select(
+            F.col("c_custkey").alias("id"),
+            F.replace("c_name", F.lit("#"), F.lit(" ")).alias("title"),
+            F.col("c_mktsegment").alias("code"),
+            (F.col("c_custkey") % 50).cast("double").alias("width"),
+            ((F.col("c_custkey") % 7) * 10).cast("double").alias("outer_dia"),
+        ),
+        "orders_of": read("orders").select(
+            F.col("o_orderkey").alias("id"),
+            F.col("o_custkey").alias("buyer_id"),
+            F.col("o_orderpriority").alias("title"),
+            F.col("o_orderstatus").alias("code"),
+        ),
+        "event": read("events").select(
+            F.col("event_id").alias("id"),
+            F.col("user_id").alias("model_id"),
+            F.col("props").alias("has_total"),
+            F.col("value").cast("string").alias("price_with_tax"),
+            F.col("event_type").alias("amount"),
+            F.col("value").alias("seen_id"),
+            F.col("ts").cast("date").cast("string").alias("created_at"),
+            F.col("event_type").alias("name"),
+        ),
         "article": read("documents").select(
             F.col("doc_id").alias("id"), "text", "lang", "source", F.col("n_chars").alias("chars_total")
         ),

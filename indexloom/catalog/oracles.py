@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from indexloom.catalog.queries import BLANK_QUERIES, FILTERS, PRODUCT_QUERIES
+from indexloom.catalog.queries import BLANK_QUERIES, CUSTOMER_QUERIES, FILTERS, PRICED_QUERIES, PRODUCT_QUERIES
 from indexloom.functions import stem
 from indexloom.functions.text import FOLD_FROM, FOLD_PAIRS, FOLD_TO
+from indexloom.operators.highlight import CLOSE, FRAGMENT, OPEN
 
 ORACLES: dict[str, str] = {}
 
@@ -134,12 +135,38 @@ MANUFACTURE_FIELDS = {
     **dict.fromkeys(["title_en", "title_lv", "nation__title_en", "nation__title_lv"], "full_text_en"),
     **dict.fromkeys(["slug_en", "slug_lv", "code"], "keyword"),
 }
+CUSTOMER_FIELDS = {
+    **dict.fromkeys(["title_en", "title_lv", "orders__title_en", "orders__title_lv"], "full_text_en"),
+    **dict.fromkeys(["code", "orders__code"], "keyword"),
+    "size_terms": "size",
+}
+#: Customers, and the to-many values of their orders: the leading run of equal values counts once.
+CDOC = f"""
+cdoc AS (
+  SELECT c_custkey AS doc_id, replace(c_name, '#', ' ') AS title_en, replace(c_name, '#', ' ') AS title_lv, c_mktsegment AS code,
+    trim(concat_ws(' ', CASE WHEN c_custkey % 50 <> 0 THEN {_text('CAST(c_custkey % 50 AS DOUBLE)')} END,
+      CASE WHEN c_custkey % 7 <> 0 THEN {_text('CAST((c_custkey % 7) * 10 AS DOUBLE)')} END)) AS size_terms FROM customer),
+order_rows AS (SELECT o_custkey AS doc_id, o_orderkey AS o, unnest(['orders__title_en', 'orders__title_lv', 'orders__code']) AS field,
+    unnest([o_orderpriority, o_orderpriority, o_orderstatus]) AS value FROM orders JOIN customer ON c_custkey = o_custkey),
+order_runs AS (SELECT *, first_value(value) OVER w AS v1, row_number() OVER w AS n FROM order_rows WHERE value <> ''
+  WINDOW w AS (PARTITION BY doc_id, field ORDER BY o)),
+order_ends AS (SELECT doc_id, field, min(n) AS k FROM order_runs WHERE value <> v1 GROUP BY ALL),
+order_values AS (SELECT doc_id, field, CASE WHEN field = 'orders__code' THEN 'keyword' ELSE 'full_text_en' END AS main, value, CAST(o AS VARCHAR) AS elem
+  FROM order_runs LEFT JOIN order_ends USING (doc_id, field) WHERE n = 1 OR n >= k)"""
 ADOC = "adoc AS (SELECT doc_id, text, lang, source, CAST(n_chars AS DOUBLE) AS chars_total FROM documents)"
 SOURCES = {
     "Product": (PDOC, "pdoc", PRODUCT_FIELDS),
     "Manufacture": (MDOC, "mdoc", MANUFACTURE_FIELDS),
     "Article": (ADOC, "adoc", {"text": "full_text_en"}),
+    "Spoken": (ADOC, "adoc", {"text": "by_language"}),
+    "Priced": (
+        PDOC + ", priced AS (SELECT doc_id, title_en AS title, code, price, quantity FROM pdoc)", "priced",
+        {"title": "full_text_en", "code": "keyword", "price": "numeric", "quantity": "numeric"},
+    ),
+    "Customer": (CDOC, "cdoc", CUSTOMER_FIELDS),
 }
+#: Rows of to-many values: doc_id, field, main, value, elem.
+MANY = {"Customer": "order_values"}
 
 
 def _values(rows) -> str:
@@ -147,19 +174,29 @@ def _values(rows) -> str:
 
 
 PRODUCT_Q = f"SELECT * FROM {_values(PRODUCT_QUERIES)} t(qid, text)"
+CUSTOMER_Q = f"SELECT * FROM {_values(CUSTOMER_QUERIES)} t(qid, text)"
+PRICED_Q = f"SELECT * FROM {_values(PRICED_QUERIES)} t(qid, text)"
 BENCH_Q = "SELECT CAST(item_id AS VARCHAR) AS qid, text FROM benchmark"
 
 
 def index_ctes(entity: str, queries: str = "SELECT '' AS qid, '' AS text WHERE false") -> str:
     """docs, q, qa (analysed queries), fl (fields), post, lens, tst, fst."""
     docs, table, fields = SOURCES[entity]
-    unioned = "\n UNION ALL ".join(
-        f"SELECT doc_id, '{f}' AS field, '{a}' AS main, {f} AS value FROM {table}" for f, a in fields.items()
-    )
-    field_rows = ", ".join(f"('{f}', '{a}')" for f, a in fields.items())
+    spoken = "CASE WHEN lang = 'en' THEN 'full_text_en' ELSE 'full_text_lv' END"
+    parts = [
+        f"SELECT doc_id, '{f}' AS field, " + (spoken if a == "by_language" else f"'{a}'") + f" AS main, CAST({f} AS VARCHAR) AS value, '' AS elem FROM {table}"
+        for f, a in fields.items()
+        if "orders__" not in f
+    ]
+    if entity in MANY:
+        parts.append(f"SELECT doc_id, field, main, value, elem FROM {MANY[entity]}")
+    unioned = "\n UNION ALL ".join(parts)
+    mains = {f: ["full_text_en", "full_text_lv"] if a == "by_language" else [a] for f, a in fields.items()}
+    field_rows = ", ".join(f"('{f}', '{a}')" for f, kinds in mains.items() for a in kinds)
+    number = "CAST(TRY_CAST(trim(text) AS DOUBLE) AS VARCHAR)"
     by_analyzer = (
         f"CASE WHEN analyzer = 'keyword' THEN CASE WHEN length(value) <= 256 THEN [value] ELSE [] END "
-        f"WHEN analyzer = 'size' THEN {sizes('value')} "
+        f"WHEN analyzer = 'size' THEN {sizes('value')} WHEN analyzer = 'numeric' THEN [value] "
         f"WHEN analyzer = 'autocomplete' THEN list_filter({folded_words('value')}, lambda x: length(x) > 1) "
         f"ELSE {folded_words('value')} END"
     )
@@ -168,20 +205,20 @@ q AS ({queries}),
 fl(field, analyzer) AS (VALUES {field_rows}),
 fv AS (SELECT * FROM ({unioned}) WHERE value <> ''),
 sf AS (
-  SELECT doc_id, field, main AS analyzer, value FROM fv
-  UNION ALL SELECT doc_id, field, 'keyword', value FROM fv WHERE main <> 'keyword'
-  UNION ALL SELECT doc_id, field, 'code', value FROM fv WHERE main = 'keyword'
-  UNION ALL SELECT doc_id, field, 'autocomplete', value FROM fv),
-lists AS (SELECT doc_id, field, analyzer, {by_analyzer} AS l FROM sf),
-occ0 AS MATERIALIZED (SELECT doc_id, field, analyzer, unnest(l) AS raw, generate_subscripts(l, 1) - 1 AS pos FROM lists),
+  SELECT doc_id, field, main AS analyzer, value, elem FROM fv
+  UNION ALL SELECT doc_id, field, 'keyword', value, elem FROM fv WHERE main NOT IN ('keyword', 'numeric')
+  UNION ALL SELECT doc_id, field, 'code', value, elem FROM fv WHERE main = 'keyword'
+  UNION ALL SELECT doc_id, field, 'autocomplete', value, elem FROM fv WHERE main <> 'numeric'),
+lists AS (SELECT doc_id, field, analyzer, elem, {by_analyzer} AS l FROM sf),
+occ0 AS MATERIALIZED (SELECT doc_id, field, analyzer, elem, unnest(l) AS raw, generate_subscripts(l, 1) - 1 AS pos FROM lists),
 qw AS (SELECT qid, unnest(l) AS raw, generate_subscripts(l, 1) - 1 AS pos FROM (SELECT qid, {folded_words('text')} AS l FROM q)),
 stem_in AS (SELECT raw AS term FROM occ0 WHERE analyzer = 'full_text_en' UNION SELECT raw FROM qw),
 {stem_ctes()},
 occ AS (
-  SELECT doc_id, field, analyzer, pos, CASE WHEN analyzer = 'full_text_en' THEN stem ELSE occ0.raw END AS term
+  SELECT doc_id, field, analyzer, elem, pos, CASE WHEN analyzer = 'full_text_en' THEN stem ELSE occ0.raw END AS term
   FROM occ0 LEFT JOIN stems ON stems.raw = occ0.raw AND analyzer = 'full_text_en' WHERE analyzer <> 'autocomplete'
   UNION ALL
-  SELECT doc_id, field, analyzer, pos, left(raw, CAST(n AS INTEGER)) FROM
+  SELECT doc_id, field, analyzer, elem, pos, left(raw, CAST(n AS INTEGER)) FROM
     (SELECT *, unnest(range(2, least(20, length(raw)) + 1)) AS n FROM occ0 WHERE analyzer = 'autocomplete')),
 post AS MATERIALIZED (SELECT doc_id, field, analyzer, term, count(*) AS tf FROM occ GROUP BY ALL),
 lens AS MATERIALIZED (SELECT doc_id, field, analyzer, count(*) AS len FROM occ GROUP BY ALL),
@@ -191,6 +228,8 @@ asked AS (SELECT * FROM q WHERE trim(text) <> ''),
 qa AS (
   SELECT qid, 'full_text_en' AS analyzer, list(stem ORDER BY pos) AS l FROM qw JOIN stems USING (raw) GROUP BY qid
   UNION ALL SELECT qid, 'size', {sizes('text')} FROM asked
+  UNION ALL SELECT qid, 'full_text_lv', {folded_words('text')} FROM asked
+  UNION ALL SELECT qid, 'numeric', [{number}] FROM asked WHERE regexp_matches(text, '[0-9]') AND {number} IS NOT NULL
   UNION ALL SELECT qid, 'keyword', [text] FROM asked
   UNION ALL SELECT qid, 'autocomplete', {words('lower(text)')} FROM asked),
 qf AS (SELECT qid, field, analyzer, l, list_distinct(l) AS d FROM qa JOIN fl USING (analyzer) WHERE len(l) > 0),
@@ -200,13 +239,13 @@ qs AS (SELECT qid, field, analyzer, len(d) AS n, unnest(d) AS term, generate_sub
 # Query terms of each clause: qid, clause, field, analyzer, slot, need, term, weight, fixed.
 def plain(clause: str, operator: str = "and") -> str:
     need = "n" if operator == "and" else "1"
-    return f"SELECT qid, '{clause}' AS clause, field, analyzer, slot, {need} AS need, term, 1.0::DOUBLE AS weight, false AS fixed FROM qs"
+    return f"SELECT qid, '{clause}' AS clause, field, analyzer, slot, {need} AS need, term, 1.0::DOUBLE AS weight, analyzer = 'numeric' AS fixed FROM qs"
 
 
 def sub_field(clause: str, analyzer: str) -> str:
     return (
         f"SELECT qid, '{clause}', field, '{analyzer}', generate_subscripts(d, 1), 1, unnest(d), 1.0::DOUBLE, false "
-        f"FROM (SELECT *, list_distinct(l) AS d FROM qa WHERE analyzer = '{analyzer}') CROSS JOIN (SELECT field FROM fl)"
+        f"FROM (SELECT *, list_distinct(l) AS d FROM qa WHERE analyzer = '{analyzer}') CROSS JOIN (SELECT DISTINCT field FROM fl WHERE analyzer <> 'numeric')"
     )
 
 
@@ -215,14 +254,16 @@ FUZZY = f"""SELECT qid, 'main', field, analyzer, slot, n, b, 1.0::DOUBLE - d / l
   SELECT qid, field, analyzer, slot, n, a, b, {FUZZY_D} AS d FROM (
     SELECT qid, qs.field, qs.analyzer, slot, n, qs.term AS a, tst.term AS b FROM qs JOIN tst
     ON tst.field = qs.field AND tst.analyzer = qs.analyzer AND left(tst.term, 2) = left(qs.term, 2)
-    AND abs(length(tst.term) - length(qs.term)) <= 2))
-  WHERE d <= CASE WHEN length(a) <= 2 THEN 0 WHEN length(a) <= 5 THEN 1 ELSE 2 END"""
+    AND abs(length(tst.term) - length(qs.term)) <= 2 WHERE qs.analyzer <> 'numeric'))
+  WHERE d <= CASE WHEN length(a) <= 2 THEN 0 WHEN length(a) <= 5 THEN 1 ELSE 2 END
+  UNION ALL SELECT qid, 'main', field, analyzer, slot, n, term, 1.0::DOUBLE, true FROM qs WHERE analyzer = 'numeric'"""
 PREFIX = """SELECT qid, 'bool_prefix', field, analyzer, slot, n, term, 1.0::DOUBLE, false FROM (
     SELECT qid, field, analyzer, len(h) + 1 AS n, unnest(h) AS term, generate_subscripts(h, 1) AS slot
-    FROM (SELECT *, list_distinct(list_slice(l, 1, len(l) - 1)) AS h FROM qf))
+    FROM (SELECT *, list_distinct(list_slice(l, 1, len(l) - 1)) AS h FROM qf WHERE analyzer <> 'numeric'))
+  UNION ALL SELECT qid, 'bool_prefix', field, analyzer, slot, n, term, 1.0::DOUBLE, true FROM qs WHERE analyzer = 'numeric'
   UNION ALL
   SELECT qid, 'bool_prefix', field, analyzer, len(h) + 1, len(h) + 1, tst.term, 1.0::DOUBLE, true
-  FROM (SELECT *, list_distinct(list_slice(l, 1, len(l) - 1)) AS h, l[-1] AS p FROM qf) x
+  FROM (SELECT *, list_distinct(list_slice(l, 1, len(l) - 1)) AS h, l[-1] AS p FROM qf WHERE analyzer <> 'numeric') x
   JOIN tst USING (field, analyzer) WHERE starts_with(tst.term, p)"""
 NUMERIC = """SELECT qid, 'numeric_code', field, 'keyword', 1, 1, trim(text), 1.0::DOUBLE, false
   FROM asked CROSS JOIN (SELECT field FROM fl WHERE field IN ('code', 'isbn_code')) WHERE regexp_matches(trim(text), '^[0-9]+$')"""
@@ -256,25 +297,65 @@ def clause_sql(entity: str, queries: str, terms: str, boost: float = 1.0, **kw)
 BOOSTED = "CASE clause WHEN 'keyword' THEN 15 WHEN 'exact' THEN 10 WHEN 'bool_prefix' THEN 8 WHEN 'numeric_code' THEN 20 ELSE 1 END"
 
 
-def bool_ctes(entity: str, queries: str, quantity: bool, docs_filter: str = "true") -> str:
-    """Ends in hits(qid, doc_id, score), unboosted by stock in base(qid, doc_id, s)."""
+PHRASE_CTES = """
+qp AS (SELECT qid, field, analyzer, len(l) AS n, unnest(l) AS term, generate_subscripts(l, 1) - 1 AS p FROM qf WHERE analyzer NOT IN ('keyword', 'numeric')),
+phrase_starts AS (
+  SELECT qid, doc_id, field, analyzer, elem, pos - p AS start, n, sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5))) AS w, count(*) AS c
+  FROM qp JOIN tst USING (field, analyzer, term) JOIN fst USING (field, analyzer) JOIN occ USING (field, analyzer, term)
+  GROUP BY ALL HAVING c = n),
+phrase_freq AS (SELECT qid, doc_id, field, analyzer, count(*) AS tf, max(w) AS w FROM phrase_starts GROUP BY ALL),
+phrase_best AS (SELECT qid, doc_id, max(w * tf / (tf + 1.2 * (0.25 + 0.75 * len / avg_len))) AS s
+  FROM phrase_freq JOIN lens USING (doc_id, field, analyzer) JOIN fst USING (field, analyzer) GROUP BY ALL)"""
+
+
+def bool_ctes(entity: str, queries: str, quantity: bool, docs_filter: str = "true", fuzzy: bool = True, operator: str = "and", phrase: bool = False) -> str:
+    """Ends in hits(qid, doc_id, score), unboosted by stock in base(qid, doc_id, s); query terms in qt."""
     table = SOURCES[entity][1]
-    parts = [FUZZY, plain("exact"), PREFIX, sub_field("keyword", "keyword"), sub_field("autocomplete", "autocomplete"), NUMERIC]
+    parts = [] if phrase else [FUZZY if fuzzy else plain("main", operator), plain("exact", operator)]
+    prefix = PREFIX if operator == "and" else PREFIX.replace("slot, n, term", "slot, 1, term").replace("len(h) + 1, len(h) + 1, tst", "len(h) + 1, 1, tst")
+    parts += [prefix, sub_field("keyword", "keyword"), sub_field("autocomplete", "autocomplete"), NUMERIC]
     has_size = "size_terms" in SOURCES[entity][2]
     if has_size:
         parts.append(SIZE)
     must = f"(NOT {SIZE_LIKE} OR bool_or(clause = 'size'))" if has_size else "true"
     stock = "CASE WHEN quantity > 0 THEN 1000 ELSE 1 END" if quantity else "1"
     terms = "\n UNION ALL ".join(parts)
+    phrases = f"{PHRASE_CTES},\n" if phrase else ""
+    clauses = "(SELECT * FROM clauses UNION ALL SELECT qid, doc_id, unnest(['main', 'exact']), s FROM phrase_best)" if phrase else "clauses"
     return f"""{index_ctes(entity, queries)},
 qt(qid, clause, field, analyzer, slot, need, term, weight, fixed) AS ({terms}),
-{clause_scores(['keyword', 'autocomplete', 'numeric_code'])},
-base AS (SELECT qid, doc_id, sum(s * {BOOSTED}) AS s FROM clauses JOIN q USING (qid)
+{phrases}{clause_scores(['keyword', 'autocomplete', 'numeric_code'])},
+base AS (SELECT qid, doc_id, sum(s * {BOOSTED}) AS s FROM {clauses} JOIN q USING (qid)
   WHERE doc_id IN (SELECT doc_id FROM {table} WHERE {docs_filter})
   GROUP BY qid, doc_id, text HAVING bool_or(clause <> 'size') AND {must}),
 hits AS (SELECT qid, doc_id, round(s * {stock}, 6) AS score FROM base JOIN {table} USING (doc_id))"""
 
 
+def highlight_ctes(phrase: bool = False) -> str:
+    """From page(qid, doc_id), qt and sf to marked(qid, doc_id, field, elem, n, fragment)."""
+    whole = "UNION SELECT qid, doc_id, field, analyzer, elem, unnest(range(start, start + n)) FROM phrase_starts JOIN page USING (qid, doc_id)" if phrase else ""
+    runs = lambda v: rf"CASE WHEN analyzer = 'size' THEN regexp_extract_all({v}, '[0-9.,]+|[^0-9.,]+') ELSE regexp_extract_all({v}, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+') END"
+    first = rf"CASE WHEN analyzer = 'size' THEN regexp_matches(value, '^[0-9.,]') ELSE regexp_matches(value, '^[\p{{L}}\p{{N}}]') END"
+    return f"""
+hl_marks AS (SELECT qid, doc_id, field, analyzer, elem, list(DISTINCT pos) AS marks FROM (
+    SELECT page.qid, doc_id, occ.field, occ.analyzer, elem, pos FROM page JOIN occ USING (doc_id)
+      JOIN (SELECT DISTINCT qid, field, analyzer, term FROM qt WHERE analyzer <> 'autocomplete') t ON t.qid = page.qid AND t.field = occ.field AND t.analyzer = occ.analyzer AND t.term = occ.term
+    {whole}) GROUP BY ALL),
+hl_values AS (SELECT m.*, value, {first} AS leads, {runs('value')} AS runs FROM (SELECT qid, doc_id, hl_marks.field, hl_marks.analyzer, elem, marks, sf.value
+    FROM hl_marks JOIN sf USING (doc_id, field, analyzer, elem)) m),
+hl_runs AS (SELECT qid, doc_id, field, analyzer, elem, marks, unnest(runs) AS run, generate_subscripts(runs, 1) - 1 - CASE WHEN leads THEN 0 ELSE 1 END AS place
+    FROM hl_values WHERE analyzer NOT IN ('keyword', 'numeric')),
+hl_text AS (SELECT qid, doc_id, field, analyzer, elem, string_agg(CASE WHEN place >= 0 AND place % 2 = 0 AND list_contains(marks, place // 2) THEN '{OPEN}' || run || '{CLOSE}' ELSE run END, '' ORDER BY place) AS t
+    FROM hl_runs GROUP BY ALL),
+hl_parts AS (SELECT qid, doc_id, field, analyzer, elem, generate_subscripts(f, 1) AS k, unnest(f) AS part FROM (
+    SELECT *, regexp_extract_all(t, '{FRAGMENT}') AS f FROM hl_text
+    UNION ALL SELECT qid, doc_id, field, analyzer, elem, NULL, ['{OPEN}' || value || '{CLOSE}'] FROM hl_values WHERE analyzer IN ('keyword', 'numeric'))),
+marked AS (SELECT qid, doc_id, name AS field, elem, n, replace(replace(regexp_replace(part, '^([^{OPEN}{CLOSE}]*){CLOSE}', '\1'), '{OPEN}', '<em>'), '{CLOSE}', '</em>') AS fragment FROM (
+    SELECT *, row_number() OVER (PARTITION BY qid, doc_id, name ORDER BY TRY_CAST(elem AS BIGINT), k) - 1 AS n FROM (
+      SELECT h.*, CASE WHEN fl.field IS NULL THEN h.field || '.keyword' ELSE h.field END AS name FROM hl_parts h LEFT JOIN fl ON fl.field = h.field AND fl.analyzer = h.analyzer
+      WHERE contains(part, '{OPEN}'))) WHERE n < 3)"""
+
+
 OR_SCORES = clause_sql("Article", BENCH_Q, plain("main", "or")).replace("\nSELECT qid, doc_id, round(1.0 * s, 6) AS score FROM clauses", "")
 OR_HITS = f"{OR_SCORES},\nhits AS (SELECT qid, doc_id, round(s, 6) AS score FROM clauses)"
 RANK = "row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id)"
@@ -302,7 +383,7 @@ def phrase_sql(prefix: bool) -> str:
 qp AS (SELECT qid, field, analyzer, len(l) AS n, unnest(l) AS term, generate_subscripts(l, 1) - 1 AS p FROM qf),
 pt(qid, field, analyzer, p, n, term, fixed) AS (SELECT qid, field, analyzer, p, n, term, false FROM qp WHERE p < n - 1 UNION ALL {last}),
 starts AS (
-  SELECT qid, doc_id, field, pos - p AS start, n, sum(CASE WHEN fixed THEN 1 ELSE ln(1 + (n_docs - df + 0.5) / (df + 0.5)) END) AS w, count(*) AS c
+  SELECT qid, doc_id, field, elem, pos - p AS start, n, sum(CASE WHEN fixed THEN 1 ELSE ln(1 + (n_docs - df + 0.5) / (df + 0.5)) END) AS w, count(*) AS c
   FROM pt JOIN tst USING (field, analyzer, term) JOIN fst USING (field, analyzer) JOIN occ USING (field, analyzer, term)
   GROUP BY ALL HAVING c = n),
 freq AS (SELECT qid, doc_id, field, count(*) AS tf, max(w) AS w FROM starts GROUP BY ALL)
@@ -320,14 +401,14 @@ line_runs AS (SELECT *, first_value(value) OVER w AS v1, row_number() OVER w AS
   WINDOW w AS (PARTITION BY doc_id, field ORDER BY a, b, c)),
 line_ends AS (SELECT doc_id, field, min(n) AS k FROM line_runs WHERE value <> v1 GROUP BY ALL),
 line_values AS (SELECT doc_id, field, a, b, c, value FROM line_runs LEFT JOIN line_ends USING (doc_id, field) WHERE n = 1 OR n >= k)"""
-FRAGS = r"regexp_extract_all(text, '(?s).{1,150}(?:\s|$)')"
-RUNS = r"regexp_extract_all(frag, '[\p{L}\p{N}]+|[^\p{L}\p{N}]+')"
-
 ORACLES.update(
     {
         "scan_entity": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
         "scan_count": "SELECT count(*) AS n FROM documents",
-        "index_rebuild": f"WITH {MDOC} SELECT * FROM mdoc",
+        "index_rebuild": f"""SELECT 'Manufacture' AS entity, doc_id, title_en, title_lv, code, n_terms FROM
+            (WITH {index_ctes('Manufacture')} SELECT * FROM mdoc LEFT JOIN (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n_terms FROM post GROUP BY 1) USING (doc_id))
+            UNION ALL SELECT 'Customer', doc_id, title_en, title_lv, code, n_terms FROM
+            (WITH {index_ctes('Customer')} SELECT * FROM cdoc LEFT JOIN (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n_terms FROM post GROUP BY 1) USING (doc_id))""",
         "index_upsert": f"""WITH {MDOC} SELECT doc_id,
             CASE WHEN s_acctbal < 0 THEN 'Renamed ' || title_en || ' v2' ELSE title_en END AS title_en,
             CASE WHEN s_acctbal < 0 THEN 'Renamed ' || title_lv || ' v2' ELSE title_lv END AS title_lv,
@@ -378,9 +459,14 @@ ORACLES.update(
         "an_size": term_counts("pages", "page_id", "html", sizes("v")),
         "locale_analyzer": f"""SELECT *, 'full_text_en' AS analyzer FROM ({term_counts("documents", "doc_id", "text", folded_words("v"), True, "lang = 'en'")})
             UNION ALL SELECT *, 'full_text_lv' FROM ({term_counts("documents", "doc_id", "text", folded_words("v"), False, "lang <> 'en'")})""",
-        "build_postings": f"""WITH {index_ctes('Article')} SELECT field, analyzer, term, doc_id, count(*) AS tf, len AS doc_len,
-            CASE WHEN analyzer = 'full_text_en' THEN string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) END AS positions FROM occ JOIN lens USING (doc_id, field, analyzer)
-            GROUP BY field, analyzer, term, doc_id, len""",
+        "build_postings": f"""SELECT * FROM (WITH {index_ctes('Article')} SELECT 'Article' AS entity, field, analyzer, term, doc_id, elem, count(*) AS tf, any_value(n) AS doc_len,
+            CASE WHEN analyzer IN ('keyword', 'autocomplete') THEN '' ELSE string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) END AS positions
+            FROM occ JOIN (SELECT doc_id, field, analyzer, elem, count(*) AS n FROM occ GROUP BY ALL) USING (doc_id, field, analyzer, elem)
+            GROUP BY field, analyzer, term, doc_id, elem)
+            UNION ALL SELECT * FROM (WITH {index_ctes('Customer')} SELECT 'Customer' AS entity, field, analyzer, term, doc_id, elem, count(*) AS tf, any_value(n) AS doc_len,
+            CASE WHEN analyzer IN ('keyword', 'autocomplete') THEN '' ELSE string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) END AS positions
+            FROM occ JOIN (SELECT doc_id, field, analyzer, elem, count(*) AS n FROM occ GROUP BY ALL) USING (doc_id, field, analyzer, elem)
+            GROUP BY field, analyzer, term, doc_id, elem)""",
         "build_field_stats": f"""WITH {index_ctes('Product')} SELECT field, analyzer, term, df, ctf, n_docs, round(avg_len, 6) AS avg_len
             FROM tst JOIN fst USING (field, analyzer)""",
         "q_match_all": f"""WITH {PDOC}, q AS (SELECT * FROM {_values(PRODUCT_QUERIES + BLANK_QUERIES)} t(qid, text))
@@ -410,7 +496,8 @@ ORACLES.update(
             "Product", PRODUCT_Q, plain("main"),
             weights={"title_en": 5, "title_lv": 5, "code": 4, "manufacture__title_en": 1.5, "manufacture__title_lv": 1.5},
         ),
-        "q_lenient": "SELECT event_id, value FROM events WHERE floor(value) = TRY_CAST(props->>'$.k' AS DOUBLE) OR value = TRY_CAST(event_type AS DOUBLE)",
+        "q_lenient": f"WITH {bool_ctes('Priced', PRICED_Q, False)} SELECT * FROM hits",
+        "locale_search": f"WITH {bool_ctes('Spoken', BENCH_Q, False, fuzzy=False, operator='or')} SELECT * FROM (SELECT *, {RANK} AS rank FROM hits) WHERE rank <= 10",
         "score_bm25": f"WITH {index_ctes('Article', BENCH_Q)}, qt AS ({plain('main')}), {SCORED} SELECT qid, doc_id, round(s, 6) AS score FROM matched",
         "filter_term": f"""WITH {PDOC}, r AS (SELECT DISTINCT doc_id FROM {LINES} WHERE flag = 'R'), f AS (SELECT DISTINCT doc_id FROM {LINES} WHERE status = 'F')
             SELECT 0::BIGINT AS part, doc_id FROM pdoc WHERE slug_en = 'red-bolt-7' UNION ALL SELECT 1, doc_id FROM pdoc WHERE code = '6204'
@@ -431,26 +518,31 @@ ORACLES.update(
         "sort_fields": f"""{MATCH} SELECT * FROM (SELECT qid, doc_id, lang, chars_total,
             row_number() OVER (PARTITION BY qid ORDER BY lang NULLS LAST, chars_total DESC NULLS LAST, doc_id) AS rank FROM m) WHERE rank <= 20""",
         "sort_multi_value": f"SELECT doc_id, min(quantity) AS low, max(quantity) AS high FROM {LINES} JOIN part ON p_partkey = doc_id GROUP BY 1",
-        "total_hits": f"{OR_HITS} SELECT qid, count(*) AS total FROM hits GROUP BY 1",
+        "total_hits": f"""{OR_HITS} SELECT qid, count(hits.doc_id) AS total FROM (SELECT qid FROM q UNION ALL SELECT unnest(['none', 'script'])) LEFT JOIN hits USING (qid) GROUP BY 1""",
         "hydrate": f"""{OR_HITS} SELECT qid, rank, CAST(h.doc_id AS VARCHAR) AS id, score, lang, source FROM (SELECT *, {RANK} AS rank FROM hits) h
             LEFT JOIN (SELECT * FROM adoc WHERE lang <> 'de') a ON a.doc_id = h.doc_id WHERE rank <= 5""",
-        "highlight": f"""{OR_HITS}, top AS (SELECT qid, doc_id FROM (SELECT *, {RANK} AS rank FROM hits) WHERE rank <= 5),
-            mw AS (SELECT DISTINCT t.qid, t.doc_id, occ0.raw FROM top t JOIN occ0 ON occ0.doc_id = t.doc_id AND occ0.analyzer = 'full_text_en'
-              JOIN stems USING (raw) JOIN qs ON qs.qid = t.qid AND qs.term = stem),
-            ml AS (SELECT qid, doc_id, list(raw) AS ws FROM mw GROUP BY ALL),
-            fr AS (SELECT qid, doc_id, ws, unnest({FRAGS}) AS frag, generate_subscripts({FRAGS}, 1) AS k FROM ml JOIN adoc USING (doc_id)),
-            ru AS (SELECT qid, doc_id, ws, k, unnest({RUNS}) AS run, generate_subscripts({RUNS}, 1) AS j FROM fr),
-            mk AS (SELECT qid, doc_id, k, string_agg(CASE WHEN list_contains(ws, lower({fold('run')})) THEN '<em>' || run || '</em>' ELSE run END, '' ORDER BY j) AS fragment FROM ru GROUP BY ALL)
-            SELECT * FROM (SELECT qid, doc_id, 'text' AS field, row_number() OVER (PARTITION BY qid, doc_id ORDER BY k) - 1 AS n, fragment
-              FROM mk WHERE contains(fragment, '<em>')) WHERE n < 3""",
+        "highlight": f"""SELECT * FROM (SELECT 'article' AS part, qid, doc_id, field, elem, n, fragment FROM (
+              {OR_SCORES}, hits AS (SELECT qid, doc_id, round(s, 6) AS score FROM clauses),
+              page AS (SELECT qid, doc_id FROM (SELECT *, {RANK} AS rank FROM hits) WHERE rank <= 5), {highlight_ctes()} SELECT * FROM marked))
+            UNION ALL SELECT * FROM (SELECT 'best_fields' AS part, qid, doc_id, field, elem, n, fragment FROM (
+              WITH {bool_ctes('Customer', CUSTOMER_Q, False)}, page AS (SELECT qid, doc_id FROM (SELECT *, {RANK} AS rank FROM hits) WHERE rank <= 3), {highlight_ctes()} SELECT * FROM marked))
+            UNION ALL SELECT * FROM (SELECT 'phrase' AS part, qid, doc_id, field, elem, n, fragment FROM (
+              WITH {bool_ctes('Customer', CUSTOMER_Q, False, phrase=True)}, page AS (SELECT qid, doc_id FROM (SELECT *, {RANK} AS rank FROM hits) WHERE rank <= 3), {highlight_ctes(True)} SELECT * FROM marked))""",
         "search": f"""WITH {bool_ctes('Product', f"SELECT * FROM {_values(PRODUCT_QUERIES + BLANK_QUERIES)} t(qid, text)", True)},
             al AS (SELECT * FROM hits UNION ALL SELECT qid, doc_id, 1.0::DOUBLE FROM q CROSS JOIN pdoc WHERE trim(text) = ''),
-            r AS (SELECT *, {RANK} AS rank, count(*) OVER (PARTITION BY qid) AS total FROM al)
-            SELECT qid, rank, CAST(doc_id AS VARCHAR) AS id, score, code, total FROM r JOIN pdoc USING (doc_id) WHERE rank <= 20""",
-        "multi_search": f"""SELECT 'Product' AS entity, qid, rank, CAST(doc_id AS VARCHAR) AS id, score FROM
-              (WITH {bool_ctes('Product', PRODUCT_Q, True)} SELECT *, {RANK} AS rank FROM hits) WHERE rank <= 5
-            UNION ALL SELECT 'Manufacture', qid, rank, CAST(doc_id AS VARCHAR), score FROM
-              (WITH {bool_ctes('Manufacture', PRODUCT_Q, False)} SELECT *, {RANK} AS rank FROM hits) WHERE rank <= 5""",
+            r AS (SELECT *, {RANK} AS rank FROM al), top AS (SELECT * FROM r WHERE rank <= 5), page AS (SELECT qid, doc_id FROM top), {highlight_ctes()}
+            SELECT 'hit' AS part, qid, doc_id, rank AS n, score, NULL AS name, code AS value FROM top JOIN pdoc USING (doc_id)
+            UNION ALL SELECT 'total', qid, NULL, count(al.doc_id), NULL, NULL, NULL FROM q LEFT JOIN al USING (qid) GROUP BY qid
+            UNION ALL SELECT 'highlight', qid, doc_id, n, NULL, field, fragment FROM marked
+            UNION ALL SELECT 'manufacture', NULL, doc_id, manufacture__id, NULL, NULL, manufacture__title_en FROM pdoc WHERE doc_id IN (SELECT doc_id FROM page)
+            UNION ALL SELECT 'lines', NULL, l_partkey, l_orderkey, l_quantity, NULL, NULL FROM lineitem WHERE l_partkey IN (SELECT doc_id FROM page)""",
+        "multi_search": "WITH found AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS entity, * FROM (WITH {bool_ctes(name, PRODUCT_Q, name == 'Product')} SELECT *, {RANK} AS rank FROM hits)"
+            for name in ("Product", "Manufacture", "Customer")
+        )
+        + f"""), totals AS (SELECT entity, qid, count(doc_id) AS total FROM (SELECT unnest(['Product', 'Manufacture', 'Customer']) AS entity) CROSS JOIN ({PRODUCT_Q}) LEFT JOIN found USING (entity, qid) GROUP BY ALL)
+            SELECT entity, qid, total, rank, CAST(doc_id AS VARCHAR) AS id, score FROM totals LEFT JOIN (SELECT * FROM found WHERE rank <= 5) USING (entity, qid)""",
         "facet_terms": f"""{MATCH}, c AS (SELECT qid, source, count(*) AS n FROM m GROUP BY ALL)
             SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY n DESC, source) AS rank FROM c) WHERE rank <= 7""",
         "facet_range": f"""{MATCH} SELECT qid, CAST(band AS BIGINT) AS band, count(*) AS n FROM m JOIN

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indexloom.catalog import entities as E
-from indexloom.config import Entity, Settings, column_weights, document_columns, searched_columns
+from indexloom.config import Entity, Settings, column_weights, document_columns, index_name, searched_columns
 from indexloom.functions import text as T
 from indexloom.functions import values as V
 from indexloom.operators import documents as D
@@ -17,7 +17,7 @@ from indexloom.operators import facets, filters, highlight, postings, ranking, s
 from indexloom.operators import query_terms as Q
 from indexloom.plans import index as index_plan
 from indexloom.plans import search as search_plan
-from indexloom.sources.store import Index, written
+from indexloom.sources.store import Index, new_path, open_index, written
 from indexloom.sources.tables import scan_count, scan_entity
 
 PRODUCT_QUERIES = [
@@ -25,6 +25,11 @@ PRODUCT_QUERIES = [
     ("p6", "box"), ("p7", "supplier 000000007"), ("p8", " 6204 "), ("p9", "12,5"), ("pa", "small rings"),
     ("pb", "rde rod"), ("pc", "Supplier 000000007"),
 ]
+CUSTOMER_QUERIES = [
+    ("c1", "BUILDING"), ("c2", "20x3"), ("c3", "not specified"), ("c4", "Customer 000000012"), ("c5", "urgnet"),
+    ("c6", "high"), ("c7", "F"), ("c8", "specified not"), ("c9", "nowhere"),
+]
+PRICED_QUERIES = [("n1", "905.0"), ("n2", "12"), ("n3", "1e1"), ("n4", "red bolt"), ("n5", "47,5"), ("n6", " 1005 "), ("n7", "nan")]
 BLANK_QUERIES = [("b1", ""), ("b2", "  ")]
 WEIGHTS = {"title": 5.0, "code": 4.0, "manufacture": {"title": 1.5}}
 
@@ -35,8 +40,8 @@ def _index(spark: SparkSession, folder: str, name: str) -> Index:
     """The entity's index, loaded once per session and folder."""
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _built:
-        settings = E.ARTICLE_SETTINGS if name == "Article" else E.SETTINGS
-        _built[key] = index_plan.build_index(E.ENTITIES[name], E.tables(spark, folder), settings)
+        entity = getattr(E, name.upper())
+        _built[key] = index_plan.build_index(entity, E.tables(spark, folder), _settings(entity))
     return _built[key]
 
 
@@ -50,7 +55,7 @@ def _benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _settings(entity: Entity) -> Settings:
-    return E.ARTICLE_SETTINGS if entity is E.ARTICLE else E.SETTINGS
+    return E.SETTINGS_OF.get(entity.name, E.SETTINGS)
 
 
 def _clause(spark, folder, entity, queries, make, weights=None, summed=(), cross=False) -> DataFrame:
@@ -59,7 +64,7 @@ def _clause(spark, folder, entity, queries, make, weights=None, summed=(), cross
     columns = searched_columns(entity, _settings(entity))
     asked, _ = Q.split_blank(queries)
     analyzed = Q.analyze_queries(asked, Q.query_analyzers(columns))
-    terms = written(scoring.with_statistics(make(analyzed, columns, index), index), "terms")
+    terms = scoring.query_terms(make(analyzed, columns, index), index)
     scored = scoring.by_document(scoring.term_scores(index, terms))
     if cross:
         clauses = scoring.cross_scores(scored, weights)
@@ -84,8 +89,7 @@ def _phrase(spark, folder, prefix: bool) -> DataFrame:
     index = _index(spark, folder, "Article")
     columns = searched_columns(E.ARTICLE, E.ARTICLE_SETTINGS)
     analyzed = Q.analyze_queries(_benchmark_queries(spark, folder), Q.query_analyzers(columns))
-    terms = Q.phrase_terms(analyzed, columns, "main", index.term_stats if prefix else None)
-    terms = written(scoring.with_statistics(terms, index), "terms")
+    terms = scoring.query_terms(Q.phrase_terms(analyzed, columns, "main", index if prefix else None), index)
     clauses = scoring.combine_fields(scoring.phrase_scores(index, terms), [])
     return scoring.rounded(clauses).select("qid", "doc_id", "score")
 
@@ -102,8 +106,20 @@ def scan_count_query(spark, folder):
 
 
 def index_rebuild(spark, folder):
-    built = index_plan.rebuild_index(E.ENTITIES, E.tables(spark, folder), E.SETTINGS, "Manufacture")
-    return built["Manufacture"].docs
+    """Two entities loaded twice: a first generation without the suppliers in debt, then all rows."""
+    tables, at = E.tables(spark, folder), new_path(spark, "indexes")
+    chosen = {name: E.ENTITIES[name] for name in ("Manufacture", "Customer")}
+    solvent = scan_entity(spark, folder, "supplier").filter("s_acctbal >= 0").select(F.col("s_suppkey").alias("id"))
+    fewer = {**tables, "manufacture": tables["manufacture"].join(solvent, "id", "left_semi")}
+    index_plan.rebuild_index(chosen, fewer, E.SETTINGS, "Manufacture", at)
+    index_plan.rebuild_index(chosen, tables, E.SETTINGS, None, at)
+    parts = []
+    for name, entity in chosen.items():
+        index = open_index(spark, f"{at}/{index_name(entity, E.SETTINGS)}")
+        sizes = index.postings.groupBy("doc_id").agg(F.sum("tf").alias("n_terms"))
+        docs = index.docs.select(F.lit(name).alias("entity"), "doc_id", "title_en", "title_lv", "code")
+        parts.append(docs.join(sizes, "doc_id", "left"))
+    return parts[0].unionByName(parts[1])
 
 
 def index_upsert(spark, folder):
@@ -122,17 +138,8 @@ def index_upsert(spark, folder):
 
 
 def conform_types(spark, folder):
-    events = scan_entity(spark, folder, "events")
-    return events.select(
-        "event_id",
-        V.conform(F.col("user_id"), "model_id").alias("model_id"),
-        V.conform(F.col("props"), "has_total").alias("has_total"),
-        V.conform(F.col("value").cast("string"), "price_with_tax").alias("price_with_tax"),
-        V.conform(F.col("event_type"), "amount").alias("amount"),
-        V.conform(F.col("value"), "seen_id").alias("seen_id"),
-        V.conform(F.col("ts").cast("date").cast("string"), "created_at").alias("created_at"),
-        V.conform(F.col("event_type"), "name").alias("name"),
-    )
+    docs = E.tables(spark, folder)["event"].withColumnRenamed("id", "doc_id")
+    return D.conform_types(docs, E.EVENT, E.ARTICLE_SETTINGS).withColumnRenamed("doc_id", "event_id")
 
 
 def search_fields_filter(spark, folder):
@@ -140,8 +147,8 @@ def search_fields_filter(spark, folder):
     index = _index(spark, folder, "Product")
     fields = [c.name for c in searched_columns(E.PRODUCT, E.SETTINGS)]
     analysed = postings.subfields(index.docs, index.values, document_columns(E.PRODUCT, E.SETTINGS))
-    kept = postings.terms_of(analysed.filter(F.col("field").isin(fields)))
-    return kept.groupBy("field", "analyzer").agg(F.count("*").alias("n_terms"))
+    kept = postings.combined_terms(analysed.filter(F.col("field").isin(fields)))
+    return kept.groupBy("field", "analyzer").agg(F.sum("tf").alias("n_terms"))
 
 
 def subfields(spark, folder):
@@ -266,23 +273,32 @@ def stem_vocabulary(spark, folder):
 
 def locale_analyzer(spark, folder):
     docs = scan_entity(spark, folder, "documents", ("doc_id", "text", "lang"))
-    parts = []
-    for english, analyzer in ((True, "full_text_en"), (False, "full_text_lv")):
-        rows = docs.filter((F.col("lang") == "en") == F.lit(english))
-        parts.append(postings.term_counts(rows, "text", analyzer, "doc_id").withColumn("analyzer", F.lit(analyzer)))
-    return parts[0].unionByName(parts[1])
+    return postings.term_counts(docs, "text", postings.by_language(F.col("lang")), "doc_id")
+
+
+def locale_search(spark, folder):
+    """Articles analysed by their language, searched with the terms of each analyzer."""
+    index = _index(spark, folder, "Spoken")
+    options = search_plan.SearchOptions(fuzzy=False, operator="or", limit=10)
+    asked = written(_benchmark_queries(spark, folder), "queries")
+    scores, _ = search_plan.bool_matches(index, E.SPOKEN, asked, None, E.SPOKEN_SETTINGS, options)
+    return _long_rank(ranking.ranked(scoring.rounded(scores), 10))
 
 
 def build_postings(spark, folder):
-    index = _index(spark, folder, "Article")
-    positions = F.when(F.col("analyzer") == "full_text_en", F.array_join(F.col("positions").cast("array<string>"), " "))
-    return index.postings.select("field", "analyzer", "term", "doc_id", "tf", F.col("doc_len").cast("bigint").alias("doc_len"), positions.alias("positions"))
+    """Postings of texts, and of the to-many rows, keywords and sizes of the customers."""
+    parts = []
+    for name in ("Article", "Customer"):
+        positions = F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions")
+        rows = _index(spark, folder, name).postings
+        parts.append(rows.select(F.lit(name).alias("entity"), "field", "analyzer", "term", "doc_id", "elem", "tf", F.col("doc_len").cast("bigint").alias("doc_len"), positions))
+    return parts[0].unionByName(parts[1])
 
 
 def build_field_stats(spark, folder):
     index = _index(spark, folder, "Product")
     fields = index.field_stats.select("field", "analyzer", "n_docs", F.round("avg_len", 6).alias("avg_len"))
-    return index.term_stats.join(fields, ["field", "analyzer"])
+    return index.term_stats.drop("head").join(fields, ["field", "analyzer"])
 
 
 # --- clauses on products
@@ -308,13 +324,11 @@ def extract_numeric_tokens(spark, folder):
 
 
 def q_lenient(spark, folder):
-    """The events' text properties and types against their value: only numbers can match."""
-    rows = scan_entity(spark, folder, "events", ("event_id", "event_type", "value", "props"))
-    number = F.get_json_object("props", "$.k")
-    return rows.filter(
-        filters.lenient_equals(F.floor("value").cast("double"), number)
-        | filters.lenient_equals(F.col("value"), F.col("event_type"))
-    ).select("event_id", "value")
+    """Texts against prices and quantities as well: a number finds equal numbers, other texts none of them."""
+    index = _index(spark, folder, "Priced")
+    asked = written(_rows(spark, PRICED_QUERIES), "queries")
+    scores, _ = search_plan.bool_matches(index, E.PRICED, asked, None, E.ARTICLE_SETTINGS, search_plan.SearchOptions())
+    return scoring.rounded(scores)
 
 
 def _matches(spark, folder, filter=None, boosts=None, queries=None) -> tuple[Index, DataFrame, DataFrame]:
@@ -355,7 +369,7 @@ def score_bm25(spark, folder):
     index = _index(spark, folder, "Article")
     columns = searched_columns(E.ARTICLE, E.ARTICLE_SETTINGS)
     analyzed = Q.analyze_queries(_benchmark_queries(spark, folder), Q.query_analyzers(columns))
-    terms = written(scoring.with_statistics(Q.plain_terms(analyzed, columns, "main"), index), "terms")
+    terms = scoring.query_terms(Q.plain_terms(analyzed, columns, "main"), index)
     scored = scoring.term_scores(index, terms)
     return scoring.rounded(scored).select("qid", "doc_id", "score")
 
@@ -428,7 +442,10 @@ def sort_multi_value(spark, folder):
 
 
 def total_hits(spark, folder):
-    return ranking.total_hits(_scored(spark, folder)[1])
+    """Totals of the benchmark texts, of a text that nothing holds and of one in an unknown script."""
+    queries = _benchmark_queries(spark, folder).unionByName(_rows(spark, [("none", "zzzzzz qqqqqq"), ("script", "☃")]))
+    make = lambda analyzed, columns, index: Q.plain_terms(analyzed, columns, "main", "or")
+    return ranking.total_hits(_clause(spark, folder, E.ARTICLE, queries, make), queries)
 
 
 def hydrate(spark, folder):
@@ -439,32 +456,56 @@ def hydrate(spark, folder):
 
 
 def highlights(spark, folder):
+    """Long texts, and the customers' keywords, sizes, orders, near terms, prefixes and phrases."""
     index = _index(spark, folder, "Article")
     columns = searched_columns(E.ARTICLE, E.ARTICLE_SETTINGS)
     analyzed = Q.analyze_queries(_benchmark_queries(spark, folder), Q.query_analyzers(columns))
     terms = Q.plain_terms(analyzed, columns, "main")
-    hits = written(ranking.ranked(_scored(spark, folder)[1], 5), "hits")
-    texts = index.docs.select("doc_id", F.lit("text").alias("field"), F.lit("full_text_en").alias("analyzer"), F.col("text").alias("value"))
-    rows = highlight.highlight(hits.select("qid", "doc_id").join(texts, "doc_id"), terms)
-    return rows.select("qid", "doc_id", "field", F.col("n").cast("bigint").alias("n"), "fragment")
+    page = written(ranking.ranked(_scored(spark, folder)[1], 5), "hits").select("qid", "doc_id")
+    values = postings.subfields(index.docs.join(page, "doc_id", "left_semi"), None, columns).filter("analyzer = 'full_text_en'")
+    parts = [highlight.highlight(page, values.withColumn("name", F.col("field")), terms).withColumn("part", F.lit("article"))]
+    for match_type in ("best_fields", "phrase"):
+        options = search_plan.SearchOptions(limit=3, match_type=match_type, load=False)
+        found = search_plan.search(_index(spark, folder, "Customer"), E.CUSTOMER, _rows(spark, CUSTOMER_QUERIES), E.tables(spark, folder), E.SETTINGS, options)
+        parts.append(found.highlights.withColumn("part", F.lit(match_type)))
+    return reduce(DataFrame.unionByName, parts).withColumn("n", F.col("n").cast("bigint"))
 
 
 def search(spark, folder):
+    """All that a search returns, as flat rows: hits with their models, totals, highlights and relations."""
     index = _index(spark, folder, "Product")
     queries = _rows(spark, PRODUCT_QUERIES + BLANK_QUERIES)
-    result = search_plan.search(index, E.PRODUCT, queries, E.tables(spark, folder), E.SETTINGS)
-    rows = result.hits.join(result.totals, "qid")
-    return _long_rank(rows).select("qid", "rank", "id", "score", F.col("model.code").alias("code"), "total")
+    result = search_plan.search(index, E.PRODUCT, queries, E.tables(spark, folder), E.SETTINGS, search_plan.SearchOptions(limit=5))
+    long = lambda c: F.col(c).cast("bigint")
+    none = lambda kind: F.lit(None).cast(kind)
+    columns = "part string, qid string, doc_id bigint, n bigint, score double, name string, value string"
+
+    def part(kind_of_row, rows, **given):
+        kinds = dict(c.split() for c in columns.split(", "))
+        return rows.select(F.lit(kind_of_row).alias("part"), *[given.get(c, none(kind)).alias(c) for c, kind in kinds.items() if c != "part"])
+
+    return reduce(
+        DataFrame.unionByName,
+        [
+            part("hit", result.hits, qid=F.col("qid"), doc_id=long("id"), n=long("rank"), score=F.col("score"), value=F.col("model.code")),
+            part("total", result.totals, qid=F.col("qid"), n=long("total")),
+            part("highlight", result.highlights, qid=F.col("qid"), doc_id=F.col("doc_id"), n=long("n"), name=F.col("field"), value=F.col("fragment")),
+            part("manufacture", result.relations["manufacture"], doc_id=F.col("doc_id"), n=long("related.id"), value=F.col("related.title")),
+            part("lines", result.relations["lines"], doc_id=F.col("doc_id"), n=long("related.id"), score=F.col("related.quantity")),
+        ],
+    )
 
 
 def multi_search(spark, folder):
-    names = ["Product", "Nowhere", "Manufacture"]
-    indexes = {name: _index(spark, folder, name) for name in ("Product", "Manufacture")}
+    """Three known entities and an unknown one; the totals tell queries without hits apart."""
+    names = ["Product", "Nowhere", "Manufacture", "Customer"]
+    indexes = {name: _index(spark, folder, name) for name in names if name != "Nowhere"}
     options = search_plan.SearchOptions(limit=5, highlight=False)
     results = search_plan.multi_search(
         indexes, E.ENTITIES, names, _rows(spark, PRODUCT_QUERIES), E.tables(spark, folder), E.SETTINGS, options
     )
-    return _long_rank(search_plan.all_hits(results))
+    totals = reduce(DataFrame.unionByName, [r.totals.withColumn("entity", F.lit(name)) for name, r in results.items()])
+    return _long_rank(totals.join(search_plan.all_hits(results), ["entity", "qid"], "left"))
 
 
 # --- facets over all matches
@@ -530,6 +571,7 @@ QUERIES = {
     "an_code": _analyzer("code", "pages", "page_id", "url"),
     "an_size": _analyzer("size", "pages", "page_id", "html"),
     "locale_analyzer": locale_analyzer,
+    "locale_search": locale_search,
     "build_postings": build_postings,
     "build_field_stats": build_field_stats,
     "q_match_all": q_match_all,
@@ -539,10 +581,10 @@ QUERIES = {
     "q_cross_fields": _product_clause(lambda a, c, i: Q.plain_terms(a, c, "main"), cross=True),
     "q_phrase": lambda spark, folder: _phrase(spark, folder, False),
     "q_phrase_prefix": lambda spark, folder: _phrase(spark, folder, True),
-    "q_fuzzy": _article_clause(lambda a, c, i: Q.fuzzy_terms(a, c, "main", i.term_stats)),
+    "q_fuzzy": _article_clause(lambda a, c, i: Q.fuzzy_terms(a, c, "main", i)),
     "q_keyword_exact": _product_clause(lambda a, c, i: Q.keyword_terms(a, c, "keyword"), summed=["keyword"]),
     "q_text_exact": _product_clause(lambda a, c, i: Q.plain_terms(a, c, "exact")),
-    "q_bool_prefix": _article_clause(lambda a, c, i: Q.with_prefix_terms(a, c, "bool_prefix", i.term_stats)),
+    "q_bool_prefix": _article_clause(lambda a, c, i: Q.with_prefix_terms(a, c, "bool_prefix", i)),
     "q_autocomplete": _product_clause(lambda a, c, i: Q.autocomplete_terms(a, c, "autocomplete"), summed=["autocomplete"]),
     "q_numeric_code": _product_clause(lambda a, c, i: Q.numeric_code_terms(a, c, "numeric_code"), summed=["numeric_code"]),
     "q_size_terms": _product_clause(lambda a, c, i: Q.size_terms(a, c, "size")),

@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from indexloom.functions import fixed_values as fixed
 from indexloom.functions.naming import detect_type, field_key, flatten_weights, leaves
 
 
+#: Chooses the analyzer of a text by the language of its row, from ``LANGUAGE_ANALYZERS``.
+BY_LANGUAGE = "by_language"
+#: Analyzer by language or locale; None stands for all others.
+LANGUAGE_ANALYZERS = {"en": "full_text_en", None: "full_text_lv"}
+#: Sub-fields that a search can name, and their analyzers.
+SUBFIELDS = {"text": "code", "keyword": "keyword", "autocomplete": "autocomplete"}
+
+
 @dataclass(frozen=True)
 class Relation:
     """How rows of ``table`` hang on their parent: ``table.key = parent.parent_key``.
@@ -39,13 +47,16 @@ class Settings:
     operator: str = "and"
     fuzzy: bool = True
     page_size: int = fixed.PAGE_SIZE
-    # "by_locale" uses the plain analyzer for locales other than English.
+    # "by_locale" uses the plain analyzer for locales other than English, "by_language" that of the row's language.
     text_analyzer: str = "full_text_en"
 
 
 @dataclass(frozen=True)
 class Entity:
-    """A root table, the field tree to index, and its relations by dotted path."""
+    """A root table, the field tree to index, and its relations by dotted path.
+
+    ``language`` names the root field that tells the language of a row, for ``text_analyzer="by_language"``.
+    """
 
     name: str
     table: str
@@ -57,6 +68,7 @@ class Entity:
     boosts: dict = field(default_factory=dict)
     return_fields: tuple = ("*",)
     index: str | None = None
+    language: str | None = None
 
 
 @dataclass(frozen=True)
@@ -78,10 +90,19 @@ class Column:
         """Main analyzer first, then the sub-fields."""
         if self.analyzer is None:
             return ()
+        if self.analyzer == "numeric":
+            return ("numeric",)
         if self.analyzer == "keyword":
             return ("keyword", "code", "autocomplete")
         return (self.analyzer, "keyword", "autocomplete")
 
+    @property
+    def main_analyzers(self) -> tuple[str, ...]:
+        """The analyzers that main clauses use: one, or one for each language."""
+        if self.analyzer == BY_LANGUAGE:
+            return tuple(dict.fromkeys(LANGUAGE_ANALYZERS.values()))
+        return (self.analyzer,)
+
 
 def index_name(entity: Entity, settings: Settings) -> str:
     base = entity.index or re.sub(r"[^a-z0-9]+", "-", entity.name.lower()).strip("-")
@@ -118,16 +139,33 @@ def document_columns(entity: Entity, settings: Settings) -> list[Column]:
 
 def _text_analyzer(settings: Settings, locale: str | None) -> str:
     if settings.text_analyzer == "by_locale":
-        return "full_text_en" if locale in (None, "en") else "full_text_lv"
+        return LANGUAGE_ANALYZERS.get(locale or "en", LANGUAGE_ANALYZERS[None])
     return settings.text_analyzer
 
 
 def searched_columns(entity: Entity, settings: Settings) -> list[Column]:
-    """Analysed columns whose base name is translatable or on the fixed list."""
+    """Columns whose base name is translatable or on the fixed list: analysed ones, and numbers as numbers."""
     allowed = set(entity.translatable) | set(fixed.SEARCHED_NAMES)
-    return [
-        c for c in document_columns(entity, settings) if c.analyzer is not None and c.base in allowed
-    ]
+    named = [c for c in document_columns(entity, settings) if c.base in allowed]
+    numbers = [replace(c, analyzer="numeric") if c.type in ("double", "long") else c for c in named]
+    return [c for c in numbers if c.analyzer is not None]
+
+
+def chosen_columns(columns: list[Column], names) -> list[Column]:
+    """The searched columns that ``names`` mean: a column, a field for all its locales, or ``name.subfield``.
+
+    A sub-field is searched with its own analyzer in place of the column's: ``code.text`` finds words of codes.
+    """
+    chosen = []
+    for name in names:
+        field_name, _, sub = name.partition(".")
+        found = [c for c in columns if field_name in (c.name, field_key(c.path), c.path)]
+        if sub:
+            found = [replace(c, analyzer=SUBFIELDS[sub]) for c in found if SUBFIELDS.get(sub) in c.analyzers]
+        if not found:
+            raise ValueError(f"no searched field {name}")
+        chosen += found
+    return chosen
 
 
 def column_weights(entity: Entity, settings: Settings) -> dict[str, float]:

@@ -3,7 +3,8 @@
 Two strings within d edits (insert, delete, replace, swap of neighbours) share a string that each
 reaches by at most d deletions (Garbe's symmetric deletion). Long strings have too many of those; they
 are cut into five pieces instead, of which two edits leave at least one whole, shifted by at most two
-(segment filtering after Li, Deng, Wang & Feng, "PASS-JOIN", 2011). Candidates are then measured.
+(segment filtering after Li, Deng, Wang & Feng, "PASS-JOIN", 2011). The vocabulary's side of that join is a
+table of the index; a search makes only its own terms' side. Candidates are then measured.
 """
 
 from __future__ import annotations
@@ -33,12 +34,13 @@ def edit_distance(a: str, b: str, limit: int = 2) -> str:
     Of two edits each may be a swap: one in ``a`` or in ``b`` and another edit, or one in either.
     """
     far = limit + 1
-    at_most = lambda x, y, n: f"CASE WHEN levenshtein({x}, {y}, {n}) < 0 THEN {far} ELSE levenshtein({x}, {y}, {n}) END"
+    at_most = lambda x, y, n: f"coalesce(nullif(levenshtein({x}, {y}, {n}), -1), {far})"
     one_side = lambda x, y: f"array_min(transform({_swaps(x)}, w -> 1 + {at_most('w', y, limit - 1)}))"
     both = f"CASE WHEN char_length({a}) = char_length({b}) AND arrays_overlap({_swaps(a)}, {_swaps(b)}) THEN 2 ELSE {far} END"
-    swapped = f"least({at_most(a, b, limit)}, {one_side(a, b)}, {one_side(b, a)}, {both})"
+    swapped = f"least({far}, {at_most(a, b, limit)}, {one_side(a, b)}, {one_side(b, a)}, {both})"
     near = f"CASE WHEN least(char_length({a}), char_length({b})) >= 2 THEN {swapped} ELSE {at_most(a, b, limit)} END"
-    return f"(CASE WHEN {a} = {b} THEN 0 WHEN {near} > {limit} THEN -1 ELSE {near} END)"
+    # Swaps only matter where plain edits take two or more.
+    return f"coalesce(nullif(levenshtein({a}, {b}, 1), -1), nullif({near}, {far}), -1)"
 
 
 def _shorter(word: str, at: str) -> str:
@@ -77,31 +79,39 @@ def _windows(term: str) -> str:
     return f"array_distinct(flatten(transform(sequence(-2, 2), g -> {numbers})))"
 
 
-def neighbours(wanted: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def _keys(deletions: str, pieces: str, word: str, short: str, long: str) -> str:
+    """Hashed keys of a word: of what deletions leave of a short one, of the pieces of a long one."""
+    of_short = f"transform({deletions}, v -> xxhash64('short', left({word}, {P}), v))"
+    of_long = f"transform({pieces}, p -> xxhash64('long', left({word}, {P}), p.size, p.n, p.piece))"
+    none = "CAST(array() AS array<bigint>)"
+    return f"concat(CASE WHEN {short} THEN {of_short} ELSE {none} END, CASE WHEN {long} THEN {of_long} ELSE {none} END)"
+
+
+def variants(vocabulary: DataFrame) -> DataFrame:
+    """``(field, analyzer, term, key)``: the vocabulary's side of ``neighbours``, made once with the index.
+
+    No wanted term allows a word of up to three characters more than one edit.
+    """
+    most = "CASE WHEN char_length(term) <= 3 THEN 1 ELSE 2 END"
+    keys = _keys(_deletions("term", most), _pieces("term"), "term", f"char_length(term) <= {LONG}", f"char_length(term) >= {LONG - 1}")
+    return vocabulary.selectExpr("field", "analyzer", "term", f"explode({keys}) AS key")
+
+
+def neighbours(wanted: DataFrame, known: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """``(field, analyzer, term, match, closeness)``: all vocabulary terms near each wanted term.
 
-    The first two characters must be equal; a term is nearest to itself with closeness 1.
+    ``known`` holds the vocabulary's ``variants``; ``by`` names columns that both sides carry and near terms share.
+    The first two characters must be equal; a term is nearest to itself with closeness 1. Terms that share a key
+    are measured, so equal hashes of different keys do no harm.
     """
-    keys = ["field", "analyzer"]
-    wanted = wanted.selectExpr("*", f"{allowed_distance('term')} AS most", f"left(term, {P}) AS head")
-    heads = wanted.select(*keys, "head").distinct()
-    words = (
-        vocabulary.selectExpr(*keys, "term AS match", f"left(term, {P}) AS head")
-        .join(heads, [*keys, "head"], "left_semi")
-    )
-    short_wanted = wanted.filter(f"char_length(term) <= {LONG}").selectExpr(
-        "*", f"explode({_deletions('term', 'most')}) AS variant"
-    )
-    short_words = words.filter(f"char_length(match) <= {LONG}").selectExpr(
-        "*", f"explode({_deletions('match', '2')}) AS variant"
-    )
-    close = short_wanted.join(short_words, [*keys, "head", "variant"]).select(*keys, "term", "match", "most")
-    long_wanted = wanted.filter(f"char_length(term) >= {LONG - 1}").selectExpr("*", f"explode({_windows('term')}) AS at")
-    long_words = words.filter(f"char_length(match) >= {LONG - 1}").selectExpr("*", f"explode({_pieces('match')}) AS at")
-    far = long_wanted.join(long_words, [*keys, "head", "at"]).select(*keys, "term", "match", "most")
-    pairs = close.unionByName(far).distinct()
+    on = ["field", "analyzer", *by]
+    wanted = wanted.selectExpr("*", f"{allowed_distance('term')} AS most")
+    keys = _keys(_deletions("term", "most"), _windows("term"), "term", f"char_length(term) <= {LONG}", f"char_length(term) >= {LONG - 1}")
+    asked = wanted.selectExpr(*on, "term", "most", f"explode(array_distinct({keys})) AS key")
+    pairs = asked.join(known.select(*on, "key", known["term"].alias("match")), [*on, "key"])
+    pairs = pairs.select("field", "analyzer", "term", "match", "most").distinct()
     return (
         pairs.selectExpr("*", f"{edit_distance('term', 'match')} AS d")
         .filter("d >= 0 AND d <= most")
-        .selectExpr(*keys, "term", "match", "1 - d / least(char_length(term), char_length(match)) AS closeness")
+        .selectExpr("field", "analyzer", "term", "match", "1 - d / least(char_length(term), char_length(match)) AS closeness")
     )

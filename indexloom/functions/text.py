@@ -11,6 +11,7 @@ from indexloom.functions import fixed_values as fixed
 
 WORD = r"[\p{L}\p{N}]+"
 NOT_NUMERIC = "[^0-9.,]+"
+NUMBERS = "[0-9.,]+"
 POSITIONAL = ("full_text_en", "full_text_lv", "code", "size")
 
 
@@ -74,6 +75,11 @@ def numeric_tokens(text: Column) -> Column:
     return F.filter(digits, lambda t: t != "")
 
 
+def number_term(text: Column) -> Column:
+    """A text that is a number, in one form for all numbers of one value; null for any other text."""
+    return F.when(text.rlike("[0-9]"), F.trim(text).try_cast("double").cast("string"))
+
+
 def is_size_like(text: Column) -> Column:
     return (F.size(numeric_tokens(text)) >= 2) | text.rlike(r"[xX\-]")
 
@@ -86,5 +92,6 @@ def base_terms(text: Column, analyzer: Column) -> Column:
         .when(analyzer == "keyword", F.when(F.char_length(text) <= fixed.IGNORE_ABOVE, F.array(text)))
         .when(analyzer == "exact_match", F.array(folded_value(text)))
         .when(analyzer == "size", size_terms(text))
+        .when(analyzer == "numeric", F.filter(F.array(number_term(text)), lambda t: t.isNotNull()))
         .otherwise(folded_words(text))
     )

@@ -18,7 +18,9 @@ from indexloom.functions import values as V
 from indexloom.functions.naming import detect_type, field_key
 from indexloom.operators.joins import skew_join
 
-VALUES_SCHEMA = "doc_id bigint, field string, ord array<bigint>, value string"
+def values_schema(docs: DataFrame) -> str:
+    """Schema of the to-many values of ``docs``; keys may be of any type."""
+    return f"doc_id {dict(docs.dtypes)['doc_id']}, field string, ord array<bigint>, value string"
 
 
 @dataclass(frozen=True)

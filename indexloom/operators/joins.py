@@ -5,54 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df``; files are counted, anything unknown is huge."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst itself will broadcast ``df``."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return plan_bytes(df) <= limit
-
-
-def skew_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    hot_rows: int | None = None,
-    salts: int = 1,
-) -> DataFrame:
+def skew_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Equi-join (inner, left or left_semi) of ``big`` with ``small`` on shared column names.
 
     Rows of ``big`` without a key match nothing: a left join spreads them by a hash of the row, others drop them
     before they move. Keys with very many rows are left to adaptive execution, which splits their partitions by the
-    sizes it sees, so ``big`` is planned once however many joins follow each other. With ``hot_rows`` keys of more
-    rows are salted by hand: into as many sub-keys as their rows need, at least ``salts``, with their rows in
-    ``small`` repeated for each. That plans ``big`` twice and is for tables that cost little to read. There are at
-    most rows / ``hot_rows`` such keys, so that list is safe to broadcast.
+    sizes it sees, so each side is planned once however many joins follow each other.
     """
     if how != "left":
-        big = big.filter(_all_present(on))
-    if fits_broadcast(small):
-        return big.join(small, on, how)
+        return big.filter(_all_present(on)).join(small, on, how)
     hashable = [f.name for f in big.schema if "map<" not in f.dataType.simpleString()]
-    if hot_rows is None:
-        if how != "left":
-            return big.join(small, on, how)
-        spread = F.when(_all_present(on), F.lit(0).cast("bigint")).otherwise(F.xxhash64(*hashable))
-        # Always 0, but no literal: a literal would be moved out of the join's keys.
-        zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("bigint"))
-        return big.withColumn("_salt", spread).join(small.withColumn("_salt", zero), [*on, "_salt"], how).drop("_salt")
-    counts = big.groupBy(*on).count().filter((F.col("count") > hot_rows) & _all_present(on))
-    parts = F.greatest(F.ceil(F.col("count") / hot_rows), F.lit(salts)).cast("int")
-    hot = F.broadcast(counts.select(*on, parts.alias("_parts")))
-    spread = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*hashable), F.col("_parts"))).otherwise(F.lit(0))
-    salted_big = big.join(hot, on, "left").withColumn("_salt", spread.cast("int"))
-    repeats = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
-    salted_small = small.join(hot, on, "left").withColumn("_salt", F.explode(repeats)).drop("_parts")
-    return salted_big.drop("_parts").join(salted_small, [*on, "_salt"], how).drop("_salt")
+    spread = F.when(_all_present(on), F.lit(0).cast("bigint")).otherwise(F.xxhash64(*hashable))
+    # Always 0, but no literal: a literal would be moved out of the join's keys.
+    zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("bigint"))
+    return big.withColumn("_salt", spread).join(small.withColumn("_salt", zero), [*on, "_salt"], how).drop("_salt")
 
 
 def _all_present(names: list[str]) -> Column:

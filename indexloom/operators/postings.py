@@ -6,25 +6,40 @@ from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.config import Column
+from indexloom.config import BY_LANGUAGE, LANGUAGE_ANALYZERS, Column
+from indexloom.functions import distance, text
 from indexloom.functions import fixed_values as fixed
-from indexloom.functions import text
 from indexloom.functions.stem import with_stem
 from indexloom.operators.joins import widen
+from indexloom.sources.store import term_head
 
 POSTING_KEYS = ["field", "analyzer", "bucket", "shard", "term", "doc_id", "elem", "doc_len"]
 
 
-def subfields(docs: DataFrame, values: DataFrame | None, columns: list[Column]) -> DataFrame:
+def by_language(language: SparkColumn) -> SparkColumn:
+    """Analyzer of a row's text by its language."""
+    chosen = F.lit(LANGUAGE_ANALYZERS[None])
+    for name, analyzer in LANGUAGE_ANALYZERS.items():
+        if name is not None:
+            chosen = F.when(F.lower(language) == name, analyzer).otherwise(chosen)
+    return chosen
+
+
+def _analyzer(name: str, language: str | None) -> SparkColumn:
+    return by_language(F.col(language)) if name == BY_LANGUAGE else F.lit(name)
+
+
+def subfields(docs: DataFrame, values: DataFrame | None, columns: list[Column], language: str | None = None) -> DataFrame:
     """Analysed columns stacked to ``(doc_id, field, analyzer, elem, value)``, one row per sub-field.
 
-    ``elem`` names the element of a to-many column and is empty otherwise.
+    ``elem`` names the element of a to-many column and is empty otherwise. ``language`` is the document column by
+    which the analyzer of a row is chosen, where a column asks for that.
     """
     single = [c for c in columns if not c.many and c.analyzer and c.name in docs.columns]
     stacked = None
     if single:
         pairs = [
-            F.struct(F.lit(c.name).alias("field"), F.lit(a).alias("analyzer"), F.col(c.name).cast("string").alias("value"))
+            F.struct(F.lit(c.name).alias("field"), _analyzer(a, language).alias("analyzer"), F.col(c.name).cast("string").alias("value"))
             for c in single
             for a in c.analyzers
         ]
@@ -43,6 +58,10 @@ def subfields(docs: DataFrame, values: DataFrame | None, columns: list[Column])
             F.array_join(F.col("ord").cast("array<string>"), ".").alias("elem"),
             "value",
         )
+        if any(BY_LANGUAGE in kinds for kinds in many.values()):
+            spoken = docs.select("doc_id", by_language(F.col(language)).alias("_chosen"))
+            chosen = F.when(F.col("analyzer") == BY_LANGUAGE, F.col("_chosen")).otherwise(F.col("analyzer"))
+            rows = rows.join(spoken, "doc_id").withColumn("analyzer", chosen).drop("_chosen")
         stacked = rows if stacked is None else stacked.unionByName(rows)
     return stacked.filter(F.col("value").isNotNull() & (F.col("value") != ""))
 
@@ -56,56 +75,74 @@ def _length(analyzer: SparkColumn, terms: SparkColumn) -> SparkColumn:
     return F.when(analyzer == "autocomplete", grams).otherwise(F.size(terms))
 
 
-def terms_of(stacked: DataFrame) -> DataFrame:
-    """One row per term occurrence, ``pos`` counting words of the value."""
+def combined_terms(stacked: DataFrame) -> DataFrame:
+    """One row per distinct term of a value, before stems: its frequency, first position and positions.
+
+    Terms are put together inside the value's row: sorted with their positions, so that equal ones lie side by side,
+    and each run of equal terms makes one row. N-grams keep no positions; there are many more of them than words.
+    """
     analyzer = F.col("analyzer")
-    # The length is computed on the value's row: next to the explode it would be once per term.
+    own = ["doc_id", "field", "analyzer", "elem"]
     rows = (
         stacked.withColumn("terms", text.base_terms(F.col("value"), analyzer))
-        .withColumn("doc_len", _length(analyzer, F.col("terms")))
-        .select("doc_id", "field", "analyzer", "elem", "doc_len", F.posexplode("terms").alias("pos", "term"))
+        .filter(F.size("terms") > 0)
+        .select(*own, "terms", _length(analyzer, F.col("terms")).alias("doc_len"))
     )
-    rows = with_stem(rows, "term", analyzer == "full_text_en")
-    grams = F.when(analyzer == "autocomplete", text.edge_grams(F.col("term"))).otherwise(F.array("term"))
-    return rows.withColumn("term", F.explode(grams))
+    words = F.transform("terms", lambda t, i: F.struct(t.alias("term"), i.alias("pos")))
+    grams = F.flatten(
+        F.transform("terms", lambda t, i: F.transform(text.edge_grams(t), lambda g: F.struct(g.alias("term"), i.alias("pos"))))
+    )
+    rows = rows.select(*own, "doc_len", F.sort_array(F.when(analyzer == "autocomplete", grams).otherwise(words)).alias("pairs"))
+    # Not ``pairs.term``: that counts as cheap and would be taken apart anew for every element below.
+    words, places = F.transform("pairs", lambda p: p["term"]), F.transform("pairs", lambda p: p["pos"])
+    rows = rows.select(*own, "doc_len", words.alias("words"), places.alias("places"))
+    begins = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: (i == 0) | (F.get("words", i) != F.get("words", i - 1)))
+    rows = rows.select(*own, "doc_len", "words", "places", begins.alias("begins"))
+    positional = analyzer.isin(*text.POSITIONAL)
+    none = F.array().cast("array<int>")
+
+    def run(at: SparkColumn, n: SparkColumn) -> SparkColumn:
+        end = F.coalesce(F.get("begins", n + 1), F.size("words"))
+        places = F.when(positional, F.transform(F.sequence(at, end - 1), lambda j: F.get("places", j))).otherwise(none)
+        return F.struct(
+            F.get("words", at).alias("term"),
+            (end - at).cast("long").alias("tf"),
+            F.get("places", at).alias("first_pos"),
+            places.alias("positions"),
+        )
+
+    return rows.select(*own, "doc_len", F.explode(F.transform("begins", run)).alias("t")).select(*own, "doc_len", "t.*")
 
 
 def build_postings(stacked: DataFrame, buckets: int = 1, spread: int = 1) -> DataFrame:
     """``(field, analyzer, term, doc_id, elem)`` with tf, positions and the length of the value.
 
-    Occurrences move once, to the place their posting is written: by term bucket, and within a bucket
-    by a share of the documents so that a term found everywhere is spread too. The aggregate and the
-    table layout both use that placement.
+    Rows move once, already one per term of a value, to the place their posting is written: by term bucket, and
+    within a bucket by a share of the documents so that a term found everywhere is spread too. Only words of one value
+    that share a stem have to be put together after it.
     """
-    positional = F.col("analyzer").isin(*text.POSITIONAL)
-    counts = [F.count("*").alias("tf"), F.min("pos").alias("first_pos")]
-    positions = F.array_sort(F.collect_list("pos"))
-    with_positions = _placed(stacked.filter(positional), buckets, spread).groupBy(*POSTING_KEYS).agg(
-        *counts, positions.alias("positions")
+    stems = F.col("analyzer") == "full_text_en"
+    columns = [*POSTING_KEYS, "tf", "first_pos", "positions"]
+    plain = _placed(combined_terms(stacked.filter(~stems)), buckets, spread).select(*columns)
+    words = combined_terms(stacked.filter(stems))
+    stemmed = _placed(with_stem(words, "term"), buckets, spread).groupBy(*POSTING_KEYS).agg(
+        F.sum("tf").alias("tf"),
+        F.min("first_pos").alias("first_pos"),
+        F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"),
     )
-    # Plain counts stay in the hash aggregate; n-grams are most of all rows.
-    counted = _placed(stacked.filter(~positional), buckets, spread).groupBy(*POSTING_KEYS).agg(*counts)
-    return with_positions.unionByName(counted.withColumn("positions", F.array().cast("array<int>")))
+    return plain.unionByName(stemmed)
 
 
 def term_bucket(buckets: int) -> SparkColumn:
     return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
 
 
-def _placed(stacked: DataFrame, buckets: int, spread: int) -> DataFrame:
-    return (
-        terms_of(stacked)
-        .withColumns(
-            {
-                "bucket": term_bucket(buckets),
-                "shard": F.pmod(F.xxhash64("doc_id"), F.lit(spread)).cast("int"),
-            }
-        )
-        .repartition("field", "analyzer", "bucket", "shard")
-    )
+def _placed(rows: DataFrame, buckets: int, spread: int) -> DataFrame:
+    places = {"bucket": term_bucket(buckets), "shard": F.pmod(F.xxhash64("doc_id"), F.lit(spread)).cast("int")}
+    return rows.withColumns(places).repartition("field", "analyzer", "bucket", "shard")
 
 
-def build_term_stats(postings: DataFrame, many_fields=()) -> DataFrame:
+def build_term_stats(postings: DataFrame, many_fields=(), heads: int = 1) -> DataFrame:
     """Document frequency of every term."""
     keys = ["field", "analyzer", "term"]
     single = ~F.col("field").isin(list(many_fields))
@@ -115,7 +152,15 @@ def build_term_stats(postings: DataFrame, many_fields=()) -> DataFrame:
         stats = stats.unionByName(
             per_doc.groupBy(*keys).agg(F.count("*").alias("df"), F.sum("tf").alias("ctf"))
         )
-    return stats
+    return stats.withColumn("head", term_head(heads))
+
+
+def build_variants(term_stats: DataFrame, columns: list[Column], heads: int = 1) -> DataFrame:
+    """Keys of all terms that fuzzy search can ask for: those of the columns' main analyzers."""
+    kinds = {(c.name, a) for c in columns for a in c.main_analyzers if a != "numeric"}
+    table = F.create_map(*[part for name in {n for n, _ in kinds} for part in (F.lit(name), F.array(*[F.lit(a) for n, a in sorted(kinds) if n == name]))])
+    asked = F.array_contains(F.coalesce(table[F.col("field")], F.array().cast("array<string>")), F.col("analyzer"))
+    return distance.variants(term_stats.filter(asked)).withColumn("head", term_head(heads))
 
 
 def build_lengths(postings: DataFrame) -> DataFrame:
@@ -129,7 +174,7 @@ def build_lengths(postings: DataFrame) -> DataFrame:
 
 
 def build_field_stats(postings: DataFrame, lengths: DataFrame) -> DataFrame:
-    """Documents that have the field, and their average length."""
+    """Documents that have the field, and the sum of their lengths."""
     heads = postings.filter((F.col("first_pos") == 0) & (F.col("elem") == ""))
     grams = F.col("analyzer") == "autocomplete"
     once = heads.filter(~grams).select("field", "analyzer", "doc_len")
@@ -140,21 +185,29 @@ def build_field_stats(postings: DataFrame, lengths: DataFrame) -> DataFrame:
         lengths.select("field", "analyzer", F.col("total_len").cast("int").alias("doc_len"))
     )
     return counted.groupBy("field", "analyzer").agg(
-        F.count("*").alias("n_docs"), F.avg("doc_len").alias("avg_len")
+        F.count("*").alias("n_docs"), F.sum("doc_len").alias("total_len")
     )
 
 
-def term_counts(df: DataFrame, value: str, analyzer: str, key: str) -> DataFrame:
-    """``(term, df, tf)`` of one text column: an analyzer run as a job of its own."""
+def term_counts(df: DataFrame, value: str, analyzer: str | SparkColumn, key: str) -> DataFrame:
+    """``(term, df, tf)`` of one text column: an analyzer run as a job of its own.
+
+    A column as ``analyzer`` chooses it row by row; the result then tells the terms of each analyzer apart.
+    """
+    chosen = F.lit(analyzer) if isinstance(analyzer, str) else analyzer
     stacked = widen(df).select(
         F.col(key).alias("doc_id"),
         F.lit(value).alias("field"),
-        F.lit(analyzer).alias("analyzer"),
+        chosen.alias("analyzer"),
         F.lit("").alias("elem"),
         F.col(value).cast("string").alias("value"),
     ).filter(F.col("value").isNotNull() & (F.col("value") != ""))
-    per_doc = terms_of(stacked).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
-    return per_doc.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("tf"))
+    words = combined_terms(stacked)
+    if not isinstance(analyzer, str) or analyzer == "full_text_en":
+        words = with_stem(words, "term", F.col("analyzer") == "full_text_en")
+    own = ["term"] if isinstance(analyzer, str) else ["analyzer", "term"]
+    per_doc = words.groupBy("doc_id", *own).agg(F.sum("tf").alias("n"))
+    return per_doc.groupBy(*own).agg(F.count("*").alias("df"), F.sum("n").alias("tf"))
 
 
 def vocabulary_stems(df: DataFrame, value: str) -> DataFrame:

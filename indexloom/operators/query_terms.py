@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from indexloom.config import Column
 from indexloom.functions import distance, text
 from indexloom.functions.stem import with_stem
+from indexloom.sources.store import Index, term_head
 
 PREFIX_BLOCK = 64
 
@@ -63,7 +64,8 @@ def analyze_queries(queries: DataFrame, analyzers) -> DataFrame:
 
 def query_analyzers(columns: list[Column]) -> list[str]:
     """All analyzers that the clauses over ``columns`` ask for."""
-    return [*dict.fromkeys(c.analyzer for c in columns), "keyword", "autocomplete", "number", "numeric_code"]
+    mains = [a for c in columns for a in c.main_analyzers]
+    return list(dict.fromkeys([*mains, "keyword", "autocomplete", "number", "numeric_code"]))
 
 
 def _shape(df: DataFrame, clause: str, need: SparkColumn | str, weight="1.0D", constant=False) -> DataFrame:
@@ -76,15 +78,17 @@ def _shape(df: DataFrame, clause: str, need: SparkColumn | str, weight="1.0D", c
         f"CAST({need} AS INT) AS need",
         "term",
         f"{weight} AS weight",
-        f"{str(constant).lower()} AS constant",
+        # A number is equal or not; how often it occurs says nothing.
+        f"{str(constant).lower()} OR analyzer = 'numeric' AS constant",
     )
 
 
 def by_analyzer(columns: list[Column]) -> dict[str, list[str]]:
-    """Fields grouped by their main analyzer."""
+    """Fields grouped by their main analyzers."""
     groups: dict[str, list[str]] = {}
     for column in columns:
-        groups.setdefault(column.analyzer, []).append(column.name)
+        for analyzer in column.main_analyzers:
+            groups.setdefault(analyzer, []).append(column.name)
     return groups
 
 
@@ -116,18 +120,24 @@ def plain_terms(analyzed: DataFrame, columns: list[Column], clause: str, operato
     return _shape(_slots(analyzed, by_analyzer(columns)), clause, _needed(operator))
 
 
-def keyword_terms(analyzed: DataFrame, columns: list[Column], clause: str) -> DataFrame:
+def _with_subfield(columns: list[Column], analyzer: str) -> dict[str, list[str]]:
+    return {analyzer: list(dict.fromkeys(c.name for c in columns if analyzer in c.analyzers))}
+
+
+def keyword_terms(analyzed: DataFrame, columns: list[Column], clause: str) -> DataFrame | None:
     """The raw query as one term of each field's raw values."""
-    return _shape(_slots(analyzed, {"keyword": [c.name for c in columns]}), clause, "1")
+    fields = _with_subfield(columns, "keyword")
+    return _shape(_slots(analyzed, fields), clause, "1") if fields["keyword"] else None
 
 
-def autocomplete_terms(analyzed: DataFrame, columns: list[Column], clause: str) -> DataFrame:
-    return _shape(_slots(analyzed, {"autocomplete": [c.name for c in columns]}), clause, "1")
+def autocomplete_terms(analyzed: DataFrame, columns: list[Column], clause: str) -> DataFrame | None:
+    fields = _with_subfield(columns, "autocomplete")
+    return _shape(_slots(analyzed, fields), clause, "1") if fields["autocomplete"] else None
 
 
 def numeric_code_terms(analyzed: DataFrame, columns: list[Column], clause: str) -> DataFrame | None:
     """All-digit queries as exact ``code`` and ``isbn_code``, where the entity has them."""
-    codes = [c.name for c in columns if c.name in ("code", "isbn_code")]
+    codes = list(dict.fromkeys(c.name for c in columns if c.name in ("code", "isbn_code")))
     if not codes:
         return None
     rows = _slots(analyzed, {"numeric_code": codes}).withColumn("analyzer", F.lit("keyword"))
@@ -144,24 +154,26 @@ def size_terms(analyzed: DataFrame, columns: list[Column], clause: str) -> DataF
 
 
 def phrase_terms(
-    analyzed: DataFrame, columns: list[Column], clause: str, vocabulary: DataFrame | None = None
+    analyzed: DataFrame, columns: list[Column], clause: str, index: Index | None = None
 ) -> DataFrame:
-    """Every word at its position; with a vocabulary the last word stands for all it begins."""
+    """Every word at its position; with an index the last word stands for all of its vocabulary that it begins."""
     fields = {a: names for a, names in by_analyzer(columns).items() if a in text.POSITIONAL}
     rows = _numbered(_in_fields(analyzed, fields))
-    if vocabulary is None:
+    if index is None:
         return _shape(rows, clause, "n")
     last = F.col("slot") == F.col("n") - 1
-    expanded = expand_prefix(rows.filter(last).withColumnRenamed("term", "prefix"), vocabulary)
+    expanded = expand_prefix(rows.filter(last).withColumnRenamed("term", "prefix"), index)
     heads = _shape(rows.filter(~last), clause, "n")
     return heads.unionByName(_shape(expanded, clause, "n", constant=True))
 
 
 def with_prefix_terms(
-    analyzed: DataFrame, columns: list[Column], clause: str, vocabulary: DataFrame, operator: str = "and"
+    analyzed: DataFrame, columns: list[Column], clause: str, index: Index, operator: str = "and"
 ) -> DataFrame:
-    """All terms as they are but the last, which stands for every term it begins."""
-    rows = _in_fields(analyzed, by_analyzer(columns)).selectExpr(
+    """All terms as they are but the last, which stands for every term it begins; a number is no prefix."""
+    fields = by_analyzer(columns)
+    numbers = {a: names for a, names in fields.items() if a == "numeric"}
+    rows = _in_fields(analyzed, {a: names for a, names in fields.items() if a != "numeric"}).selectExpr(
         "qid",
         "field",
         "analyzer",
@@ -172,36 +184,43 @@ def with_prefix_terms(
     need = _needed(operator)
     heads = rows.selectExpr("qid", "field", "analyzer", "n", "posexplode(head) AS (slot, term)")
     lasts = rows.selectExpr("qid", "field", "analyzer", "n", "n - 1 AS slot", "prefix")
-    expanded = expand_prefix(lasts, vocabulary)
-    return _shape(heads, clause, need).unionByName(_shape(expanded, clause, need, constant=True))
+    expanded = expand_prefix(lasts, index)
+    found = _shape(heads, clause, need).unionByName(_shape(expanded, clause, need, constant=True))
+    return found.unionByName(_shape(_slots(analyzed, numbers), clause, need)) if numbers else found
 
 
-def expand_prefix(lasts: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def expand_prefix(lasts: DataFrame, index: Index) -> DataFrame:
     """Join each ``prefix`` with the vocabulary terms of its field that start with it.
 
-    Terms are cut to each length that some prefix of their field has, then joined by equality. Lengths
-    stop at ``PREFIX_BLOCK``, so their list is at most that long per field and safe to broadcast.
+    Only the parts of the vocabulary with the prefixes' first letters are read. Their terms are cut to each length that
+    a prefix with the same field and letter has, then joined by equality. Lengths stop at ``PREFIX_BLOCK``, so their
+    list is at most that long per field and part and safe to broadcast.
     """
+    keys = ["field", "analyzer", "head"]
+    lasts = lasts.withColumn("head", term_head(index.heads, "prefix")).filter("char_length(prefix) > 0")
     lasts = lasts.selectExpr("*", f"least(char_length(prefix), {PREFIX_BLOCK}) AS size").selectExpr(
         "*", "left(prefix, size) AS block"
     )
-    lengths = F.broadcast(lasts.select("field", "analyzer", "size").distinct())
+    lengths = F.broadcast(lasts.select(*keys, "size").distinct())
     cut = (
-        vocabulary.select("field", "analyzer", "term")
-        .join(lengths, ["field", "analyzer"])
+        index.term_stats.select(*keys, "term")
+        .join(lengths, keys)
         .filter("char_length(term) >= size")
         .selectExpr("*", "left(term, size) AS block")
     )
-    joined = cut.join(lasts, ["field", "analyzer", "size", "block"])
-    return joined.filter("startswith(term, prefix)").drop("size", "block", "prefix")
+    joined = cut.join(lasts, [*keys, "size", "block"])
+    return joined.filter("startswith(term, prefix)").drop("size", "block", "prefix", "head")
 
 
 def fuzzy_terms(
-    analyzed: DataFrame, columns: list[Column], clause: str, vocabulary: DataFrame, operator: str = "and"
+    analyzed: DataFrame, columns: list[Column], clause: str, index: Index, operator: str = "and"
 ) -> DataFrame:
-    """Each term also as the vocabulary terms within its allowed distance."""
-    slots = _slots(analyzed, by_analyzer(columns))
-    wanted = slots.select("field", "analyzer", "term").distinct()
-    near = distance.neighbours(wanted, vocabulary)
+    """Each term also as the vocabulary terms within its allowed distance; numbers only as they are."""
+    fields = by_analyzer(columns)
+    numbers = {a: names for a, names in fields.items() if a == "numeric"}
+    slots = _slots(analyzed, {a: names for a, names in fields.items() if a != "numeric"})
+    wanted = slots.select("field", "analyzer", "term").distinct().withColumn("head", term_head(index.heads))
+    near = distance.neighbours(wanted.filter("char_length(term) > 0"), index.variants, ("head",))
     rows = slots.join(near, ["field", "analyzer", "term"]).drop("term").withColumnRenamed("match", "term")
-    return _shape(rows, clause, _needed(operator), weight="closeness")
+    found = _shape(rows, clause, _needed(operator), weight="closeness")
+    return found.unionByName(_shape(_slots(analyzed, numbers), clause, _needed(operator))) if numbers else found

@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indexloom.functions import fixed_values as fixed
-from indexloom.operators.joins import fits_broadcast
 from indexloom.operators.postings import term_bucket
-from indexloom.sources.store import Index
+from indexloom.sources.store import Index, term_head, written
 
 SCORE_DIGITS = 6
 
@@ -32,49 +31,54 @@ def saturation(tf: Column, analyzer: Column, doc_len: Column, avg_len: Column) -
 
 
 def with_statistics(terms: DataFrame, index: Index) -> DataFrame:
-    """Query terms that occur in the index, with their idf and their field's average length."""
+    """Query terms that occur in the index, with their df, idf and their field's average length.
+
+    ``terms`` is a written table: only the parts of the vocabulary with its fields and first letters are read.
+    """
     fields = index.field_stats.select("field", "analyzer", "n_docs", "avg_len")
-    found = index.term_stats.select("field", "analyzer", "term", "df").join(
-        terms, ["field", "analyzer", "term"]
+    asked = terms.withColumn("head", term_head(index.heads)).filter(F.col("need") > 0)
+    found = index.term_stats.select("field", "analyzer", "head", "term", "df").join(
+        asked, ["field", "analyzer", "head", "term"]
     )
     return (
         found.join(fields, ["field", "analyzer"])
         .withColumn("idf", idf(F.col("n_docs"), F.col("df")))
-        .drop("n_docs", "df")
+        .drop("n_docs", "head")
     )
 
 
+def query_terms(terms: DataFrame, index: Index, name: str = "terms") -> DataFrame:
+    """Query terms as a written table with their statistics."""
+    return written(with_statistics(written(terms, f"asked-{name}"), index), name)
+
+
 def match_postings(index: Index, terms: DataFrame, postings: DataFrame | None = None) -> DataFrame:
     """Postings of the query terms; only their fields, analyzers and term buckets are read.
 
-    ``terms`` is a written table, so Catalyst knows its size. If it is too large to broadcast, postings
-    meet it by (field, analyzer, term, shard): no term's list of documents lands in one task.
+    ``terms`` is a written table, so Catalyst knows its size and broadcasts it only if it is small. Otherwise the
+    postings of a common word are split by adaptive execution.
     """
     postings = index.postings if postings is None else postings
-    keys = ["field", "analyzer", "bucket", "term"]
-    terms = terms.withColumn("bucket", term_bucket(index.buckets))
-    if not fits_broadcast(terms) and index.spread > 1:
-        terms = terms.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(index.spread - 1))))
-        keys = [*keys, "shard"]
-    return postings.join(terms.filter(F.col("need") > 0), keys).drop("bucket")
+    terms = terms.withColumn("bucket", term_bucket(index.buckets)).filter(F.col("need") > 0)
+    return postings.join(terms, ["field", "analyzer", "bucket", "term"]).drop("bucket")
 
 
 def one_per_document(matches: DataFrame, lengths: DataFrame) -> DataFrame:
     """Elements of a to-many field count as one text: frequencies add up, the length is the total."""
-    rest = [c for c in matches.columns if c not in ("tf", "doc_len", "elem", "shard")]
+    rest = [c for c in matches.columns if c not in ("tf", "doc_len", "elem")]
     summed = matches.groupBy(*rest).agg(F.sum("tf").alias("tf"))
     return summed.join(lengths, ["field", "analyzer", "doc_id"]).withColumnRenamed("total_len", "doc_len")
 
 
 def term_scores(index: Index, terms: DataFrame, many_fields=()) -> DataFrame:
     """``(qid, doc_id, clause, field, analyzer, slot, need, score)`` for every matching posting."""
-    columns = ["field", "analyzer", "bucket", "term", "doc_id", "doc_len", "tf", "shard"]
+    columns = ["field", "analyzer", "bucket", "term", "doc_id", "doc_len", "tf"]
     if many_fields:
         columns.append("elem")
     matches = match_postings(index, terms, index.postings.select(columns))
     if many_fields:
         single = ~F.col("field").isin(list(many_fields))
-        plain = matches.drop("elem", "shard")
+        plain = matches.drop("elem")
         matches = plain.filter(single).unionByName(one_per_document(matches.filter(~single), index.lengths))
     bm25 = F.col("idf") * saturation(
         F.col("tf").cast("double"), F.col("analyzer"), F.col("doc_len"), F.col("avg_len")
@@ -134,42 +138,67 @@ def cross_scores(scored: DataFrame, weights: dict[str, float] | None = None) ->
     return groups.groupBy(*hit, "clause").agg(F.max("score").alias("score"))
 
 
+def _phrase_keys(terms: DataFrame) -> list[str]:
+    return [c for c in ("qid", "must_needed") if c in terms.columns] + ["clause", "field", "analyzer", "need"]
+
+
+def phrase_documents(index: Index, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(phrases, values that hold all their words), from postings without positions.
+
+    ``terms`` is a written table. A phrase has a document frequency for each slot; a slot without a term of the index
+    rules it out. The values of the rarest slot come first, and only they are asked for the other slots.
+    """
+    keys = _phrase_keys(terms)
+    value = [*keys, "doc_id", "elem"]
+    part = F.max(F.when(F.col("constant"), F.lit(1.0)).otherwise(F.col("idf"))).alias("part")
+    slots = terms.groupBy(*keys, "slot").agg(F.sum("df").alias("df"), part)
+    phrases = slots.groupBy(*keys).agg(
+        F.count("*").alias("slots"), F.min(F.struct("df", "slot")).alias("rarest"), F.sum("part").alias("idf")
+    )
+    phrases = phrases.filter(F.col("slots") == F.col("need"))
+    phrases = written(phrases.select(*keys, F.col("rarest.slot").alias("rarest"), "idf"), "phrases")
+    narrow = index.postings.select("field", "analyzer", "bucket", "term", "doc_id", "elem")
+    asked = terms.select(*keys, "slot", "term")
+    rarest = asked.join(phrases.select(*keys, F.col("rarest").alias("slot")), [*keys, "slot"])
+    first = written(match_postings(index, rarest, narrow).select(*value).distinct(), "phrase-candidates")
+    held = match_postings(index, asked, narrow).join(first, value, "left_semi")
+    full = held.groupBy(*value).agg(F.count_distinct("slot").alias("slots")).filter(F.col("slots") == F.col("need"))
+    return phrases, written(full.select(*value), "phrase-values")
+
+
 def phrase_scores(
     index: Index, terms: DataFrame, weights: dict[str, float] | None = None, many_fields=()
 ) -> DataFrame:
     """Slots at consecutive positions of one value, scored by how often the whole phrase occurs.
 
-    ``slot`` is the position in the query. A prefix slot adds 1 in place of its idf.
+    ``slot`` is the position in the query. A prefix slot adds 1 in place of its idf. Positions are read of the values
+    that hold all words, and meet inside one row for each value: those of the rarest slot, moved to the phrase's start,
+    stay where every other slot has one in its place.
     """
-    columns = ["field", "analyzer", "bucket", "term", "doc_id", "doc_len", "elem", "positions", "shard"]
-    matches = match_postings(index, terms, index.postings.select(columns))
+    keys = _phrase_keys(terms)
+    phrases, values = phrase_documents(index, terms)
+    columns = ["field", "analyzer", "bucket", "term", "doc_id", "doc_len", "elem", "positions"]
+    asked = terms.select(*keys, "slot", "term", "avg_len")
+    rows = match_postings(index, asked, index.postings.select(columns)).join(values, [*keys, "doc_id", "elem"], "left_semi")
+    lists = rows.groupBy(*keys, "doc_id", "elem").agg(
+        F.collect_list(F.struct("slot", "positions")).alias("slots"), F.max("doc_len").alias("doc_len"), F.max("avg_len").alias("avg_len")
+    ).join(phrases, keys)
+    own = F.filter("slots", lambda s: s["slot"] == F.col("rarest"))
+    starts = F.flatten(F.transform(own, lambda s: F.transform(s["positions"], lambda p: p - F.col("rarest"))))
+    # A place holds one term, so each slot counts once for a start.
+    held = lambda start: F.size(F.filter("slots", lambda s: F.array_contains(s["positions"], start + s["slot"])))
+    whole = F.size(F.filter(starts, lambda start: held(start) == F.col("need"))).cast("double")
+    found = lists.select(*keys, "doc_id", "elem", "doc_len", "avg_len", "idf", whole.alias("tf")).filter("tf > 0")
     if many_fields:
         single = ~F.col("field").isin(list(many_fields))
-        totals = index.lengths.withColumnRenamed("total_len", "doc_len")
-        keys = ["field", "analyzer", "doc_id"]
-        matches = matches.filter(single).unionByName(
-            matches.filter(~single).drop("doc_len").join(totals, keys)
-        )
-    hit = hit_keys(matches)
-    idf_part = F.when(F.col("constant"), F.lit(1.0)).otherwise(F.col("idf"))
-    starts = by_document(
-        matches.select(
-            *hit, "clause", "field", "analyzer", "need", "doc_len", "avg_len", "elem", "slot",
-            idf_part.alias("idf"), F.explode("positions").alias("pos"),
-        )
-    ).withColumn("start", F.col("pos") - F.col("slot"))
-    phrases = (
-        starts.groupBy(*hit, "clause", "field", "analyzer", "need", "doc_len", "avg_len", "elem", "start")
-        .agg(F.count("*").alias("filled"), F.sum("idf").alias("idf"))
-        .filter(F.col("filled") == F.col("need"))
-    )
-    per_field = phrases.groupBy(*hit, "clause", "field", "analyzer", "doc_len", "avg_len").agg(
-        F.count("*").cast("double").alias("tf"), F.max("idf").alias("idf")
-    )
+        plain = found.filter(single).drop("elem")
+        rest = [c for c in found.columns if c not in ("tf", "doc_len", "elem")]
+        summed = found.filter(~single).groupBy(*rest).agg(F.sum("tf").alias("tf"))
+        summed = summed.join(index.lengths, ["field", "analyzer", "doc_id"]).withColumnRenamed("total_len", "doc_len")
+        found = plain.unionByName(summed)
     score = F.col("idf") * saturation(F.col("tf"), F.col("analyzer"), F.col("doc_len"), F.col("avg_len"))
-    fields = per_field.select(*hit, "clause", "field", score.alias("score"))
-    fields = weighted(fields, weights)
-    return fields
+    fields = found.select(*hit_keys(found), "clause", "field", score.alias("score"))
+    return weighted(fields, weights)
 
 
 def bool_scores(clauses: DataFrame, boosts: dict[str, float], must: str | None = None) -> DataFrame:

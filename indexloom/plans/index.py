@@ -1,93 +1,139 @@
-"""Index jobs: full load and keyed upsert."""
+"""Index jobs: full load, keyed upsert by segments, and their merge."""
 
 from __future__ import annotations
 
-from dataclasses import replace
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from indexloom.config import Column, Entity, Settings, index_name, searched_columns
-from indexloom.operators.documents import VALUES_SCHEMA, Documents, build_documents, conform_types
-from indexloom.operators.joins import plan_bytes, widen
+from indexloom.operators.documents import Documents, build_documents, conform_types, values_schema
+from indexloom.operators.joins import widen
 from indexloom.operators.postings import (
     build_field_stats,
     build_lengths,
     build_postings,
     build_term_stats,
+    build_variants,
     subfields,
 )
-from indexloom.sources.store import Index, new_path
+from indexloom.sources.store import Index, Segment, new_path, publish
 
 SHARD_BYTES = 128 << 10
 SMALL_SHARDS = 64
 LARGE_SHARD_BYTES = 4 << 30
 BUCKET_BYTES = 16 << 30
+HEAD_BYTES = 8 << 20
+MOST_HEADS = 32
 
 
-def layout(size: int) -> tuple[int, int]:
-    """(term buckets, document shards) for the bytes to analyse; both grow with them, without a maximum.
+def layout(size: int) -> dict[str, int]:
+    """Term buckets, document shards and vocabulary parts for the bytes to analyse; the first two grow without a maximum.
 
     Small inputs get a shard for each 128 KiB up to 64, enough to use all cores; from 256 GiB on one for each 4 GiB.
+    First letters give no more than a few dozen parts of the vocabulary.
     """
     shards = max(1, min(SMALL_SHARDS, -(-size // SHARD_BYTES)), size // LARGE_SHARD_BYTES)
-    buckets = max(1, size // BUCKET_BYTES)
-    return int(buckets), int(shards)
+    return {"buckets": int(max(1, size // BUCKET_BYTES)), "spread": int(shards), "heads": int(max(1, min(MOST_HEADS, size // HEAD_BYTES)))}
 
 
-def _write(df: DataFrame, path: str, partitions=()) -> DataFrame:
-    df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class _Writer:
+    """Writes the tables of one new segment under ``path``."""
 
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path, self.schemas = spark, f"{path}/segment-{uuid.uuid4().hex}", {}
 
-def _write_documents(documents: Documents, path: str) -> Documents:
-    docs = _write(documents.docs, f"{path}/docs")
-    if documents.values is None:
-        return Documents(docs, docs.sparkSession.createDataFrame([], VALUES_SCHEMA))
-    return Documents(docs, _write(documents.values.sortWithinPartitions("field", "value"), f"{path}/values"))
+    def write(self, name: str, df: DataFrame, partitions=()) -> DataFrame:
+        df.write.partitionBy(*partitions).parquet(f"{self.path}/{name}")
+        self.schemas[name] = df.schema.json()
+        return self.segment().read(self.spark, name)
 
+    def segment(self) -> Segment:
+        return Segment(self.path, dict(self.schemas))
 
-def _write_postings(postings: DataFrame, path: str) -> DataFrame:
+
+def _many(columns: list[Column]) -> list[str]:
+    return [c.name for c in columns if c.many]
+
+
+def _write_documents(writer: _Writer, documents: Documents) -> Documents:
+    docs = writer.write("docs", documents.docs)
+    values = documents.values
+    if values is None:
+        values = writer.spark.createDataFrame([], values_schema(docs))
+    return Documents(docs, writer.write("values", values.sortWithinPartitions("field", "value")))
+
+
+def _stacked(documents: Documents, entity: Entity, columns: list[Column], spread: bool = True) -> DataFrame:
+    wide = widen if spread else (lambda df: df)
+    values = wide(documents.values) if _many(columns) else None
+    return subfields(wide(documents.docs), values, columns, entity.language)
+
+
+def _analysed_bytes(documents: Documents, entity: Entity, columns: list[Column]) -> int:
+    """Bytes of the values that are analysed: one narrow pass, so the layout depends on data, not on a plan's guess."""
+    return _stacked(documents, entity, columns, False).agg(F.sum(F.octet_length("value"))).first()[0] or 0
+
+
+def _write_postings(writer: _Writer, postings: DataFrame) -> DataFrame:
     ordered = postings.sortWithinPartitions("field", "analyzer", "bucket", "term", "doc_id")
-    return _write(ordered, f"{path}/postings", ["field", "analyzer", "bucket"])
+    return writer.write("postings", ordered, ["field", "analyzer", "bucket"])
+
 
+def _write_vocabulary(writer: _Writer, name: str, rows: DataFrame, order: str, parts: int) -> DataFrame:
+    """Rows of terms, one part for each field, analyzer and head, in ``parts`` files that are made by as many tasks."""
+    keys = ["field", "analyzer", "head"]
+    placed = rows.repartition(*keys, F.pmod(F.xxhash64(order), F.lit(parts)))
+    return writer.write(name, placed.sortWithinPartitions(*keys, order), keys)
 
-def _analyse(documents: Documents, columns: list[Column], buckets: int, shards: int) -> DataFrame:
-    values = widen(documents.values) if any(c.many for c in columns) else None
-    return build_postings(subfields(widen(documents.docs), values, columns), buckets, shards)
 
+def _write_statistics(writer: _Writer, postings: DataFrame, lengths: DataFrame, columns: list[Column], shape: dict, gone: Index | None = None) -> None:
+    """Statistics of ``postings`` and ``lengths``, less those of the documents that ``gone`` holds."""
+    heads, parts = shape["heads"], max(1, shape["spread"] // 8)
+    stats = build_term_stats(postings, _many(columns), heads)
+    fields = build_field_stats(postings, lengths)
+    if gone is not None:
+        # One more scan of the narrow columns, no rewrite of what is there.
+        taken = build_term_stats(gone.postings, _many(columns), heads)
+        stats = _added(stats, taken, ["field", "analyzer", "head", "term"], ["df", "ctf"])
+        fields = _added(fields, build_field_stats(gone.postings, gone.lengths), ["field", "analyzer"], ["n_docs", "total_len"])
+    stats = _write_vocabulary(writer, "term_stats", stats, "term", parts)
+    writer.write("field_stats", fields.coalesce(1))
+    # Deletions are some dozens for each term.
+    new = widen(stats if gone is None else stats.filter("df > 0"))
+    _write_vocabulary(writer, "variants", build_variants(new, columns, heads), "key", 2 * parts)
 
-def _with_statistics(index: Index, columns: list[Column], path: str) -> Index:
-    many = [c.name for c in columns if c.many]
-    stats = build_term_stats(index.postings, many)
-    lengths = _write(build_lengths(index.postings), f"{path}/lengths")
-    return replace(
-        index,
-        lengths=lengths,
-        term_stats=_write(stats.sortWithinPartitions("field", "analyzer", "term"), f"{path}/term_stats"),
-        field_stats=_write(build_field_stats(index.postings, lengths).coalesce(1), f"{path}/field_stats"),
-    )
+
+def _added(new: DataFrame, taken: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    less = taken.select(*keys, *[(-F.col(c)).alias(c) for c in sums])
+    return new.select(*keys, *sums).unionByName(less).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def _analyse(writer: _Writer, documents: Documents, entity: Entity, columns: list[Column], shape: dict, gone: Index | None = None) -> None:
+    stacked = _stacked(documents, entity, columns)
+    postings = _write_postings(writer, build_postings(stacked, shape["buckets"], shape["spread"]))
+    lengths = writer.write("lengths", build_lengths(postings))
+    _write_statistics(writer, postings, lengths, columns, shape, gone)
 
 
 def build_index(
     entity: Entity, tables: dict[str, DataFrame], settings: Settings = Settings(), path: str | None = None
 ) -> Index:
-    """Full load of one entity into new tables under ``path``.
+    """Full load of one entity: one segment under ``path``, which becomes the index once it is whole.
 
-    Documents hold every field; postings hold the columns that search reads.
+    Documents hold every field; postings hold the columns that search reads. What an earlier load left at ``path``
+    stays for its readers until ``remove_superseded``.
     """
     built = build_documents(entity, tables, settings)
     spark = built.docs.sparkSession
     path = path or new_path(spark, index_name(entity, settings))
-    typed = Documents(conform_types(built.docs, entity, settings), built.values)
-    documents = _write_documents(typed, path)
+    writer = _Writer(spark, path)
+    documents = _write_documents(writer, Documents(conform_types(built.docs, entity, settings), built.values))
     columns = searched_columns(entity, settings)
-    # Without to-many columns the values are an empty frame of unknown size.
-    size = plan_bytes(documents.docs) + (plan_bytes(documents.values) if built.values is not None else 0)
-    buckets, shards = layout(size)
-    postings = _write_postings(_analyse(documents, columns, buckets, shards), path)
-    index = Index(documents.docs, documents.values, postings, None, None, None, buckets, shards)
-    return _with_statistics(index, columns, path)
+    shape = layout(_analysed_bytes(documents, entity, columns))
+    _analyse(writer, documents, entity, columns, shape)
+    return publish(spark, path, (writer.segment(),), shape)
 
 
 def rebuild_index(
@@ -97,7 +143,7 @@ def rebuild_index(
     name: str | None = None,
     folder: str | None = None,
 ) -> dict[str, Index]:
-    """Load the named entity, or all of them, into fresh tables."""
+    """Load the named entity, or all of them, as a new generation each."""
     if name is not None and name not in entities:
         raise ValueError(f"entity {name} is not configured")
     chosen = {name: entities[name]} if name is not None else entities
@@ -114,35 +160,43 @@ def latest_rows(batch: DataFrame, key: str, order: str) -> DataFrame:
     return batch.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") == 1).drop("_n")
 
 
-def merge_rows(old: DataFrame, new: DataFrame, new_ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """New rows, and the old rows whose key is not among the new ones."""
-    return new.unionByName(old.join(new_ids.select(key), key, "left_anti"))
-
-
 def upsert_index(
     index: Index,
     entity: Entity,
     tables: dict[str, DataFrame],
     settings: Settings = Settings(),
-    path: str | None = None,
 ) -> Index:
     """Index the rows of ``tables[entity.table]`` into ``index``: same keys are replaced, others stay.
 
-    Only the new documents are analysed; the merged tables go to new files.
+    Writes one new segment: the new documents, their postings, and the ids that hide earlier ones. What is there is
+    not touched; of its postings the hidden documents' are read once, to take them off the statistics. Every search
+    reads all segments, so merge them from time to time.
     """
     spark: SparkSession = index.docs.sparkSession
-    path = path or new_path(spark, index_name(entity, settings))
-    staged = new_path(spark, "upsert")
+    if index.path is None:
+        raise ValueError("the index has no folder")
+    writer = _Writer(spark, index.path)
     built = build_documents(entity, tables, settings)
-    fresh = _write_documents(Documents(conform_types(built.docs, entity, settings), built.values), staged)
+    fresh = _write_documents(writer, Documents(conform_types(built.docs, entity, settings), built.values))
     ids = fresh.docs.select("doc_id")
+    hidden = writer.write("hidden", ids.join(index.docs.select("doc_id"), "doc_id", "left_semi").distinct())
+    old = lambda df: df.join(hidden, "doc_id", "left_semi")
+    gone = Index(None, None, old(index.postings), old(index.lengths), None, None)
+    shape = {"buckets": index.buckets, "spread": index.spread, "heads": index.heads}
+    _analyse(writer, fresh, entity, searched_columns(entity, settings), shape, gone)
+    return publish(spark, index.path, (*index.segments, writer.segment()), shape)
+
+
+def merge_segments(index: Index, entity: Entity, settings: Settings = Settings()) -> Index:
+    """All segments of ``index`` as one, in the layout of its size; documents are not analysed again."""
+    spark: SparkSession = index.docs.sparkSession
+    writer = _Writer(spark, index.path)
+    documents = _write_documents(writer, Documents(index.docs, index.values))
     columns = searched_columns(entity, settings)
-    postings = _analyse(fresh, columns, index.buckets, index.spread)
-    merged = Documents(
-        merge_rows(index.docs, fresh.docs, ids), merge_rows(index.values, fresh.values, ids)
-    )
-    documents = _write_documents(merged, path)
-    placed = merge_rows(index.postings, postings, ids).repartition("field", "analyzer", "bucket", "shard")
-    postings = _write_postings(placed, path)
-    written = Index(documents.docs, documents.values, postings, None, None, None, index.buckets, index.spread)
-    return _with_statistics(written, columns, path)
+    shape = layout(_analysed_bytes(documents, entity, columns))
+    places = {"bucket": F.pmod(F.xxhash64("term"), F.lit(shape["buckets"])).cast("int"), "shard": F.pmod(F.xxhash64("doc_id"), F.lit(shape["spread"])).cast("int")}
+    placed = index.postings.withColumns(places).repartition("field", "analyzer", "bucket", "shard")
+    postings = _write_postings(writer, placed)
+    lengths = writer.write("lengths", index.lengths)
+    _write_statistics(writer, postings, lengths, columns, shape)
+    return publish(spark, index.path, (writer.segment(),), shape)

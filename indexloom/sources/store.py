@@ -1,14 +1,24 @@
-"""Parquet tables of an index and the shared folder that working tables are written to."""
+"""Index tables, their segments and manifest, and the shared folder that working tables are written to."""
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _local_dirs: dict[str, str] = {}
+#: Folders of open workspaces, innermost last.
+_workspaces: list[str] = []
+
+MANIFEST = "generation long, segments string"
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -27,7 +37,28 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = _workspaces[-1] if _workspaces else work_dir(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can write: dropping a database deletes its location."""
+    name = f"indexloom_{uuid.uuid4().hex}"
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{location}'")
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """Working tables that are written inside go when it ends; read or write results before."""
+    folder = new_path(spark, "workspace")
+    _workspaces.append(folder)
+    try:
+        yield folder
+    finally:
+        _workspaces.remove(folder)
+        remove(spark, folder)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -37,14 +68,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@dataclass(frozen=True)
+class Segment:
+    """One folder of tables, never changed once written; ``schemas`` are those of its tables.
+
+    ``hidden`` holds the ids whose documents in earlier segments it replaces. Its statistics count its own
+    documents and take off what it hides, so those of all segments add up.
+    """
+
+    path: str
+    schemas: dict[str, str]
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.read.schema(T.StructType.fromJson(json.loads(self.schemas[name]))).parquet(f"{self.path}/{name}")
+
+
 @dataclass(frozen=True)
 class Index:
-    """The tables of one entity's index.
+    """The tables of one entity's index, over all its segments.
 
     ``docs``: one row per root row, single-valued columns. ``values``: one row per value of a to-many
     column. ``postings``: one row per term of a value. ``lengths``: length of a document in a to-many
-    field. ``term_stats`` and ``field_stats``: df, N and average length. Postings lie in ``buckets`` by
-    term, each in ``spread`` shards by document.
+    field. ``term_stats`` and ``field_stats``: df, N and average length. ``variants``: keys by which terms
+    within a small edit distance meet. Postings lie in ``buckets`` by term, each in ``spread`` shards by
+    document; the vocabulary in ``heads`` by first letter.
     """
 
     docs: DataFrame
@@ -53,5 +100,100 @@ class Index:
     lengths: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
+    variants: DataFrame | None = None
     buckets: int = 1
     spread: int = 1
+    heads: int = 1
+    path: str | None = None
+    segments: tuple[Segment, ...] = ()
+
+
+def term_head(heads: int, term: str = "term") -> Column:
+    """Where the vocabulary keeps a term: by its first letter, which prefixes and near terms share."""
+    return F.pmod(F.xxhash64(F.left(term, F.lit(1))), F.lit(heads)).cast("int")
+
+
+def from_segments(spark: SparkSession, path: str | None, segments: tuple[Segment, ...], layout: dict) -> Index:
+    """The index that the segments make up: later documents hide earlier ones, statistics add up."""
+    hidden = [s.read(spark, "hidden") if "hidden" in s.schemas else None for s in segments]
+
+    def visible(name: str) -> DataFrame:
+        parts = []
+        for n, segment in enumerate(segments):
+            rows = segment.read(spark, name)
+            later = [h for h in hidden[n + 1 :] if h is not None]
+            if later:
+                rows = rows.join(reduce(DataFrame.unionByName, later), "doc_id", "left_anti").select(*rows.columns)
+            parts.append(rows)
+        return reduce(DataFrame.unionByName, parts)
+
+    def added(name: str, keys: list[str], sums: list[str], counted: str) -> DataFrame:
+        parts = [s.read(spark, name) for s in segments]
+        rows = parts[0].select(*keys, *sums)
+        if len(parts) > 1:
+            union = reduce(DataFrame.unionByName, [p.select(*keys, *sums) for p in parts])
+            rows = union.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+            rows = rows.filter(F.col(counted) > 0)
+        return rows
+
+    fields = added("field_stats", ["field", "analyzer"], ["n_docs", "total_len"], "n_docs")
+    variants = [s.read(spark, "variants") for s in segments if "variants" in s.schemas]
+    return Index(
+        docs=visible("docs"),
+        values=visible("values"),
+        postings=visible("postings"),
+        lengths=visible("lengths"),
+        term_stats=added("term_stats", ["field", "analyzer", "head", "term"], ["df", "ctf"], "df"),
+        field_stats=fields.select("field", "analyzer", "n_docs", (F.col("total_len") / F.col("n_docs")).alias("avg_len")),
+        variants=reduce(DataFrame.unionByName, variants) if variants else None,
+        path=path,
+        segments=segments,
+        **layout,
+    )
+
+
+def _generations(spark: SparkSession, path: str) -> list:
+    """All manifest rows, the latest first; few and small."""
+    rows = spark.read.schema(MANIFEST).json(f"{path}/manifest")
+    return rows.orderBy(F.desc("generation")).collect()
+
+
+def _described(row) -> tuple[tuple[Segment, ...], dict]:
+    state = json.loads(row.segments)
+    return tuple(Segment(s["path"], s["schemas"]) for s in state["segments"]), state["layout"]
+
+
+def publish(spark: SparkSession, path: str, segments: tuple[Segment, ...], layout: dict) -> Index:
+    """Make the segments the next generation of the index at ``path``: one manifest row, written last.
+
+    Readers of an earlier generation go on; one writer at a time.
+    """
+    try:
+        known = _generations(spark, path)
+    except Exception as error:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        known = []
+    state = json.dumps({"segments": [{"path": s.path, "schemas": s.schemas} for s in segments], "layout": layout})
+    row = [(known[0].generation + 1 if known else 1, state)]
+    spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("append").json(f"{path}/manifest")
+    return from_segments(spark, path, segments, layout)
+
+
+def open_index(spark: SparkSession, path: str) -> Index:
+    """The latest complete generation of the index at ``path``."""
+    return from_segments(spark, path, *_described(_generations(spark, path)[0]))
+
+
+def remove_superseded(spark: SparkSession, path: str) -> list[str]:
+    """Delete the segments that the latest generation no longer uses; returns their folders.
+
+    For when no reader of an earlier generation is left.
+    """
+    rows = _generations(spark, path)
+    live = {s.path for s in _described(rows[0])[0]}
+    old = {s.path for row in rows[1:] for s in _described(row)[0]} - live
+    for folder in sorted(old):
+        remove(spark, folder)
+    return sorted(old)
+

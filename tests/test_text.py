@@ -1,11 +1,12 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from indexloom.functions import text as T
-from indexloom.functions.distance import edit_distance, neighbours
+from indexloom.functions.distance import edit_distance, neighbours, variants
 from indexloom.functions.stem import with_stem
-from indexloom.operators.postings import term_counts
+from indexloom.operators.postings import combined_terms, term_counts
 
 # Examples of the paper, step by step.
 STEMS = {
@@ -91,7 +92,7 @@ def test_neighbours_equal_brute_force(spark):
 
     vocabulary = sorted({changed(random.choice(base)) for _ in range(400)} - {""})
     table = lambda words: spark.createDataFrame([("f", "a", w) for w in words], "field string, analyzer string, term string")
-    got = {(r.term, r.match): r.closeness for r in neighbours(table(sorted(set(base))), table(vocabulary)).collect()}
+    got = {(r.term, r.match): r.closeness for r in neighbours(table(sorted(set(base))), variants(table(vocabulary))).collect()}
     want = {}
     for a in set(base):
         most = 0 if len(a) <= 2 else 1 if len(a) <= 5 else 2
@@ -99,3 +100,24 @@ def test_neighbours_equal_brute_force(spark):
             if a[:2] == b[:2] and _distance(a, b) <= most:
                 want[a, b] = 1 - _distance(a, b) / min(len(a), len(b))
     assert got == want
+
+
+def test_terms_are_combined_inside_their_value(spark):
+    rows = [
+        (1, "f", "full_text_lv", "", "a b a c b a"), (1, "f", "autocomplete", "", "red ring re"), (2, "f", "size", "3", "20x47x20"),
+        (3, "f", "keyword", "", "k" * 257), (4, "f", "numeric", "", "1e1"), (5, "f", "numeric", "", "ten"), (6, "f", "full_text_lv", "", "..."),
+    ]
+    got = combined_terms(spark.createDataFrame(rows, "doc_id long, field string, analyzer string, elem string, value string")).collect()
+    found = {(r.doc_id, r.analyzer, r.term): (r.tf, r.first_pos, r.positions, r.doc_len) for r in got}
+    assert found[1, "full_text_lv", "a"] == (3, 0, [0, 2, 5], 6) and found[1, "full_text_lv", "b"] == (2, 1, [1, 4], 6)
+    assert found[1, "autocomplete", "re"] == (2, 0, [], 6) and found[1, "autocomplete", "ring"] == (1, 1, [], 6)
+    assert found[2, "size", "20"] == (2, 0, [0, 2], 3) and found[4, "numeric", "10.0"][0] == 1
+    assert {d for d, _, _ in found} == {1, 2, 4} and len(found) == len(got)
+
+
+def test_long_values_are_combined_in_linear_time(spark):
+    words = " ".join(f"w{i % 5000}" for i in range(200_000))
+    df = spark.createDataFrame([(1, "f", "full_text_lv", "", words)], "doc_id long, field string, analyzer string, elem string, value string")
+    start = time.time()
+    rows = combined_terms(df).agg(F.sum("tf").alias("n"), F.count("*").alias("terms"), F.sum(F.size("positions")).alias("places")).first()
+    assert (rows.n, rows.terms, rows.places) == (200_000, 5000, 200_000) and time.time() - start < 30
