@@ -12,6 +12,7 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from bisect import bisect_right
 
 import numpy as np
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark import TaskContext
 
+from indexloom.llm.common import give_back
 from indexloom.sources.store import new_path, written
 
 MAGIC = b"WVM1"
@@ -158,6 +160,7 @@ class Encoder:
 
         self.tokenizer, self.by_words = Tokenizer.from_str(tokenizer_json), by_words
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self._code = "H" if self.dtype is np.uint16 else "I"
         self._words: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -172,7 +175,7 @@ class Encoder:
         if (known := self._pieces.get(text)) is None:
             if plain:
                 spelled = text if text.isascii() else "".join(map(self._alphabet.__getitem__, text.encode()))
-                known = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], self.dtype).tobytes()
+                known = array(self._code, [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
             else:
                 known = self._general(text)
             if len(self._pieces) >= self.PIECES:
@@ -201,14 +204,20 @@ class Encoder:
         for text in texts:
             text = self._folded(text)
             parts = text.replace("\n", " ").split(" ")
+            coded = list(map(self._words.get, parts))
             try:
-                out.append(b"".join(map(self._words.__getitem__, parts)))
-            except KeyError:
+                out.append(b"".join(coded))
+            except TypeError:
+                # Most texts have a word that was not seen before; only those are looked at again.
                 if len(self._words) > self.WORDS:
                     self._words.clear()
-                for word in set(parts).difference(self._words):
-                    self._words[word] = self._word(word)
-                out.append(b"".join(map(self._words.__getitem__, parts)))
+                for i, known in enumerate(coded):
+                    if known is None:
+                        known = self._words.get(parts[i])
+                        if known is None:
+                            known = self._words[parts[i]] = self._word(parts[i])
+                        coded[i] = known
+                out.append(b"".join(coded))
         return out
 
 
@@ -263,6 +272,8 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, end_id: int, folder:
                     held = 0
         if names:
             yield close()
+        del encoder
+        give_back()
 
     ranged = own.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     return written(ranged.mapInArrow(run, "part long, seq long, path string, n_docs long, n_tokens long"), "token-files")
