@@ -100,16 +100,17 @@ def neighbours(docs: DataFrame, doc_id: str, text: str, bucket_bytes: int = 4 <<
         fine = F.size(F.filter(F.element_at(F.array(*map(longs, parts)), coarse), lambda c: c <= F.col("doc_id")))
         bucket = F.when(F.col("doc_id").isNull(), 0).otherwise((coarse - 1) * group + fine)
     placed = own.withColumn("bucket", bucket.cast("int"))
-    first = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.xxhash64("text").alias("mark"))
+    first = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")
     firsts = placed.groupBy("bucket").agg(F.min(first).alias("first"))
     # One row for each bucket: `most` at most.
     ordered = sorted(firsts.collect(), key=lambda r: r.bucket)
     if not ordered:
         return placed.withColumn("guest", F.lit(False))
-    hosts = [(r.first.doc_id, r.first.mark, ordered[i - 1].bucket) for i, r in enumerate(ordered)]
-    guests = F.broadcast(docs.sparkSession.createDataFrame(hosts, "g_id long, g_mark long, host int"))
-    visiting = placed.join(guests, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.xxhash64("text") == F.col("g_mark"))).dropDuplicates(["host"])
-    return placed.withColumn("guest", F.lit(False)).unionByName(visiting.select("doc_id", "text", F.col("host").alias("bucket"), F.lit(True).alias("guest")))
+    hosts = [(r.first.doc_id, ordered[i - 1].bucket) for i, r in enumerate(ordered)]
+    guests = F.broadcast(docs.sparkSession.createDataFrame(hosts, "g_id long, host int"))
+    # All rows of an id lie in one bucket; the first of them is that of the least text.
+    visiting = placed.join(guests, F.col("doc_id").eqNullSafe(F.col("g_id"))).groupBy(F.col("host").alias("bucket"), "doc_id").agg(F.min("text").alias("text"))
+    return placed.withColumn("guest", F.lit(False)).unionByName(visiting.withColumn("guest", F.lit(True)))
 
 
 def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM, window: int = WINDOW) -> DataFrame:
