@@ -154,7 +154,7 @@ SELECT d.doc_id, d.size, k.source_size, k.target, CAST(d.size * k.copies AS BIGI
 
 _OP8 = r"""
 WITH p AS (SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, DATE '2023-01-01' + CAST(page_id * 37 % 1000 AS INTEGER) AS day FROM pages),
-e AS (SELECT page_id % 5 <> 0 AS blocks, lower(CASE WHEN page_id % 3 = 0 THEN host WHEN page_id % 3 = 1 THEN host || '/' || regexp_extract(url, '://[^/]*/([^/?#]*)', 1) || '/' ELSE array_to_string(string_split(host, '.')[-2:], '.') END) AS pattern, page_id % 4 <> 0 AS active, DATE '2023-01-01' + CAST(page_id * 53 % 900 AS INTEGER) AS since FROM p),
+e AS (SELECT page_id % 5 <> 0 AS blocks, CASE WHEN page_id % 3 = 0 THEN host WHEN page_id % 3 = 1 THEN host || '/' || regexp_extract(url, '://[^/]*/([^/?#]*)', 1) || '/' ELSE array_to_string(string_split(host, '.')[-2:], '.') END AS pattern, page_id % 4 <> 0 AS active, DATE '2023-01-01' + CAST(page_id * 53 % 900 AS INTEGER) AS since FROM p),
 d AS (SELECT blocks, pattern, since, bool_or(active) AS active FROM e GROUP BY ALL),
 v AS (SELECT *, lead(since) OVER (PARTITION BY blocks, pattern ORDER BY since) AS until FROM d),
 l AS (SELECT page_id, host, day, list_filter(string_split(host, '.'), lambda x: x <> '') AS labels, list_filter(string_split(path, '/'), lambda x: x <> '') AS segments FROM p),
