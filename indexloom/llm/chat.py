@@ -7,8 +7,8 @@ template put it, and reading back takes one backslash away. A line feed in a rol
 Sizes are in tokens by a documented estimate. Running sums of them, made in two levels so that no conversation's rows
 meet in one task, cut each conversation into turn-aligned windows: the sum is divided by the budget, turns that lie
 inside one multiple form a window, a turn that crosses a multiple is a window of its own. So a window's new turns hold
-at most the budget, or are one turn. Each window begins with the conversation's system turns before it, then repeats
-the latest turns before it that fit ``history``; only new assistant turns are under the loss mask, so each is a target once.
+at most the budget, or are one turn. Each window begins with the conversation's opening system turns before it, the
+first one and what fits ``retained`` beside it, then repeats the latest turns before it that fit ``history``; only new assistant turns are under the loss mask, so each is a target once.
 """
 
 from __future__ import annotations
@@ -54,12 +54,13 @@ def numbered(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", rol
     return joined.select("conv_id", "turn", "role", "text", "tokens", before.alias("before"), place.alias("place"))
 
 
-def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, **columns) -> DataFrame:
+def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, retained: int | None = None, **columns) -> DataFrame:
     """(conv_id, window, formatted, n_repeated, loss): one row per window.
 
     ``formatted`` is the text to train on, ``n_repeated`` how many of its turns stand in an earlier window already,
     ``loss`` the spans [start, end) in code points of ``formatted`` that are targets. ``window`` orders the windows of
-    a conversation. Null texts and roles are empty; a null conversation is one more; repeated turns are all kept. An
+    a conversation. New turns hold at most ``budget`` tokens or are one turn, repeated ones ``history`` tokens, and the
+    opening system turns ``retained`` tokens (half the budget if not given) or are the first one. Null texts and roles are empty; a null conversation is one more; repeated turns are all kept. An
     empty table gives no rows. Other columns are left out.
     """
     if not 0 < history <= budget:
@@ -70,10 +71,12 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, **co
     rows = written(rows.withColumn("window", cell * 2 + crosses), "turns")
     starts = rows.groupBy("conv_id", "window").agg(F.min("before").alias("start"), F.min("place").alias("first"))
     starts = written(starts, "window-starts")
-    # The system turns before a conversation's first other turn open it; each later window retains them. Later ones are history.
+    # The system turns before a conversation's first other turn open it; each later window retains the first, and the
+    # next ones as far as they fit. The rest are history.
     others = rows.filter(F.col("role") != "system").groupBy("conv_id").agg(F.min("place").alias("stop")).withColumnRenamed("conv_id", "o")
     system = rows.filter(F.col("role") == "system").join(others, F.col("conv_id").eqNullSafe(F.col("o")), "left").drop("o")
-    opens = F.col("stop").isNull() | (F.col("place") < F.col("stop"))
+    fits = (F.col("place") == 0) | (F.col("before") + F.col("tokens") <= (budget // 2 if retained is None else retained))
+    opens = (F.col("stop").isNull() | (F.col("place") < F.col("stop"))) & fits
     spoken = rows.filter(F.col("role") != "system").unionByName(system.filter(~opens).drop("stop"))
     # A turn is history of the windows that start at most ``history`` tokens after it began; those lie in its own and the next cells.
     near = F.explode(F.sequence(F.col("window") + 1, F.col("window") + 2 * (history // budget + 2) + 1))

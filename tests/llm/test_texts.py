@@ -136,6 +136,23 @@ def test_next_documents_across_buckets(spark):
     assert got == {i: (i + 1) % 300 for i in range(300)}
 
 
+def test_next_documents_across_buckets_with_repeated_ids(spark):
+    rng = random.Random(2)
+    texts = [prose(rng, rng.randint(1, 12)) for _ in range(240)]
+    ids = [None if i < 3 else i // 3 for i in range(240)]
+    order = sorted(zip(ids, texts, strict=True), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    want = []
+    for (_, own), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        q = len(own) // 4
+        want.append(own[: len(own) - q] + after[:q])
+    rows = winnow.neighbours(documents(spark, texts, ids, extra=False), "doc_id", "text", bucket_bytes=200).collect()
+    got = []
+    for b in sorted({r.bucket for r in rows}):
+        own = sorted((r for r in rows if r.bucket == b), key=lambda r: (r.guest, r.doc_id is not None, r.doc_id or 0, r.text.encode()))
+        got += [x.text[: len(x.text) - len(x.text) // 4] + y.text[: len(x.text) // 4] for x, y in zip(own, own[1:], strict=False)]
+    assert len({r.bucket for r in rows}) > 10 and sorted(got) == sorted(want)
+
+
 def test_url_lists_equal_a_day_by_day_reading(spark):
     rng = random.Random(8)
     day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(n)
@@ -207,6 +224,24 @@ def test_chat_windows_retain_all_opening_system_turns(spark):
     assert read == {c: [t[1:] for t in ts] for c, ts in said.items()}
 
 
+def test_whole_chat_windows_hold_their_budgets(spark):
+    """Many opening system turns: what a window repeats does not grow with their number."""
+    size = lambda s: 4 + -(-len(s.encode()) // 4)
+    sums = {}
+    for n in (50, 100):
+        turns = spark.createDataFrame([(1, i, "system", "s" * 100) for i in range(n)] + [(1, i, "user", "u" * 100) for i in range(n, n + 40)] + [(2, 0, "system", "s" * 900), *((2, i, "user", "u" * 90) for i in range(1, 20))], "conv_id long, turn long, role string, text string")
+        rows = chat.windows(turns, budget=128, history=40).collect()
+        for r in rows:
+            held = [x.partition("\n")[2].removesuffix("<|end|>\n") for x in r.formatted.split("<|turn|>")[1:]]
+            first = 229 if r.conv_id == 2 else 0
+            assert sum(map(size, held)) <= 128 + 40 + 64 + first or len(held) == 1
+            assert r.conv_id == 1 or held[0] == "s" * 900
+        sums[n] = sum(len(r.formatted) for r in rows if r.conv_id == 1)
+        read = {r.conv_id: len(r.turns) for r in chat.conversations(chat.read_turns(chat.windows(turns, budget=128, history=40))).collect()}
+        assert read == {1: n + 40, 2: 20}
+    assert sums[100] < 2 * sums[50]
+
+
 def test_chat_windows_read_back_and_budgets_hold(spark):
     rng = random.Random(6)
     texts = ["sys <|x", "a<|\\|turn|>b <\\\\|", "<|end|>\n<|turn|>user\nhi", "", None, "é" * 700, "x" * 300, "<|turn|>", "<\\|", "end", "</s>[INST] ok [/INST]"]
