@@ -1,32 +1,33 @@
 """Removal of repeated byte strings by suffix order and longest previous factors.
 
-Suffixes only need their first ``length`` bytes. They are sorted by these and then by position, so that in a run of
-equal ones the previous suffix is the previous smaller position and the next one the next: a suffix whose longest
-previous factor reaches ``length`` has an earlier copy, and one whose next neighbour does has a later copy.
+Suffixes only need their first ``length`` bytes: any order in which equal ones are neighbours, those by position, serves.
+In a run of equal ones the previous suffix is the previous smaller position and the next one the next: a suffix whose
+longest previous factor reaches ``length`` has an earlier copy, and one whose next neighbour does has a later copy.
+So suffixes are ordered by a rolling hash of these bytes, and neighbours of equal hash are compared byte by byte.
 
 No suffix order of a whole corpus fits a task, so suffixes that can share a factor are brought together first. Of the
 k-grams in each ``length`` bytes the least hash is an anchor; equal strings have their anchor at the same place. Only
 anchors that repeat go on, each with its context, all bytes that a string with this anchor can hold. Equal contexts
-collapse: all of it is repeated. The different contexts of one anchor are sorted as above. An anchor with more than
-``crowd`` of them is never gathered: ranges of starts are halved instead, counting whether all the bytes that a range
-covers repeat (then all of it is repeated), or whether those that all its strings share do not (then none is).
+collapse: all of it is repeated. The different contexts of one anchor are ordered as above. An anchor with more than
+``crowd`` of them is never gathered: its starts are cut into cells, narrow rows of hashes tell whether all the bytes of
+a cell repeat (then all of it is repeated) or those that all its strings share do not (then none is), and only the
+starts of the other cells are compared one by one.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.llm.common import append, packed
-from indexloom.sources.store import written
+from indexloom.llm.common import append, give_back
+from indexloom.sources.store import new_path, remove, written
 
-GRAM = 32
-CROWD = 400
+GRAM = 64
+#: Most contexts that a task gathers (at 336 bytes each), and how many starts a cell of a larger group has.
+CROWD, CELL = 4096, 16
 PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _POS = 21  # bits of a place in a piece
@@ -110,34 +111,43 @@ def _anchor_batch(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([docs, marks, pa.array(at), pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)), pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32))], ["doc", "mark", "at", "anchor", "context", "before", "after"])
 
 
-def repeated_starts(contexts: list[bytes], places: list[tuple], length: int, keep_first: bool) -> list[np.ndarray]:
+def repeated_starts(contexts: list[bytes], groups: np.ndarray, before: np.ndarray, ranks: np.ndarray, length: int, keep_first: bool) -> list[np.ndarray]:
     """For each context the starts of strings with a longest previous (or, unless ``keep_first``, next) factor of ``length``.
 
-    ``places`` orders the contexts' first bytes: (document, mark, byte). Sorting is by string, then by place.
+    Strings are compared that lie at the same distance from the anchor of one group; ``before`` is that of a context's
+    first byte, ``ranks`` the order of the contexts' places.
     """
-    order = sorted(range(len(contexts)), key=lambda i: places[i])
-    documents = {d: i for i, d in enumerate(dict.fromkeys(places[i][:-1] for i in order))}
-    sizes = [len(contexts[i]) - length + 1 for i in order]
-    strings = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(contexts[i], np.uint8), length) for i in order])
-    place = np.concatenate([np.arange(n) + places[i][-1] + (documents[places[i][:-1]] << 40) for i, n in zip(order, sizes, strict=True)])
-    by_place = np.argsort(place, kind="stable")
-    suffix = np.ascontiguousarray(strings).view(f"S{length}").ravel()
-    order_of = by_place[np.argsort(suffix[by_place], kind="stable")]
-    ranked, where = suffix[order_of], place[order_of]
-    same = (ranked[1:] == ranked[:-1])
-    # Contexts can overlap: one place met twice is no copy of itself, so the ends of a run of equal suffixes decide.
-    run = np.concatenate([[0], np.cumsum(~same)])
-    firsts = np.flatnonzero(np.diff(run, prepend=-1))
-    lasts = np.append(firsts[1:], len(run)) - 1
-    repeated = where[firsts][run] < where
-    if not keep_first:
-        repeated |= where[lasts][run] > where
-    flags = np.zeros(len(suffix), bool)
-    flags[order_of] = repeated
-    out: list = [None] * len(contexts)
-    for i, part in zip(order, np.split(flags, np.cumsum(sizes)[:-1]), strict=True):
-        out[i] = np.flatnonzero(part)
-    return out
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    raw = np.frombuffer(b"".join(contexts), np.uint8)
+    up, down = _powers(_BASE, len(raw)), _powers(pow(_BASE, -1, 1 << 64), len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * down, out=sums[1:])
+    counts = np.maximum(0, sizes - length + 1)
+    owner = np.repeat(np.arange(len(contexts)), counts)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = np.repeat(np.cumsum(sizes) - sizes, counts) + inside
+    key = (sums[start + length] - sums[start]) * up[start]
+    same_place = (groups[owner].astype(np.int64) << 32) + (inside - before[owner]) % (1 << 32)
+    key = (key ^ key >> np.uint64(29)) * np.uint64(0xD6E8FEB86659FD93) + same_place.astype(np.uint64) * np.uint64(_BASE)
+    by_rank = np.argsort(ranks[owner], kind="stable")
+    order = by_rank[np.argsort(key[by_rank], kind="stable")]
+    same = key[order][1:] == key[order][:-1]
+    met = np.flatnonzero(same)
+    windows = np.lib.stride_tricks.sliding_window_view(raw, length) if len(raw) >= length else raw.reshape(0, 1)
+    for part in np.array_split(met, len(met) // 8192 + 1):
+        a, b = order[part], order[part + 1]
+        if (same_place[a] != same_place[b]).any() or (windows[start[a]] != windows[start[b]]).any():
+            # Hashes collided: the bytes themselves decide.
+            names = {}
+            exact = [names.setdefault((int(g), bytes(windows[i])), len(names)) for g, i in zip(same_place, start, strict=True)]
+            order = by_rank[np.argsort(np.array(exact)[by_rank], kind="stable")]
+            same = np.diff(np.array(exact)[order]) == 0
+            break
+    repeated = np.concatenate([[False], same]) if keep_first else np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    flags = np.zeros(len(owner), bool)
+    if len(owner):
+        flags[order] = repeated[: len(order)]
+    return [np.flatnonzero(f) for f in np.split(flags, np.cumsum(counts)[:-1])]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -151,59 +161,91 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _small_groups(rows: DataFrame, length: int, keep_first: bool) -> DataFrame:
-    """Spans of the contexts of anchors with few of them, by the suffix order of each anchor's contexts."""
+def _small_groups(rows: DataFrame, length: int, keep_first: bool, crowd: int) -> DataFrame:
+    """Spans of the contexts of anchors with at most ``crowd`` of them, by the suffix order of each anchor's contexts."""
+
+    def spans_of(rows: list[tuple]) -> pa.RecordBatch:
+        groups = np.cumsum([0, *(a[0] != b[0] for a, b in zip(rows, rows[1:], strict=False))])
+        places = [(g[1] is not None, g[1] or 0, g[2], g[3]) for g in rows]
+        ranks = np.empty(len(rows), np.int64)
+        ranks[sorted(range(len(rows)), key=places.__getitem__)] = np.arange(len(rows))
+        starts = repeated_starts([g[5] for g in rows], groups, np.array([g[4] for g in rows]), ranks, length, keep_first)
+        found = []
+        for g, own in zip(rows, starts, strict=True):
+            if len(own):
+                first = g[3] - g[4]
+                # Starts less than ``length`` apart make one run of bytes.
+                cuts = np.flatnonzero(np.diff(own) > length)
+                found += [(g[1], g[2], first + s, first + e + length) for s, e in zip(own[[0, *(cuts + 1)]].tolist(), own[[*cuts, -1]].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(4)], ["doc", "mark", "start", "end"])
 
     def run(batches):
+        held: list[tuple] = []
         for batch in batches:
-            found = []
-            for group in batch.column("group").to_pylist():
-                places = [(g["doc"] is not None, g["doc"] or 0, g["mark"], g["at"] - g["before"]) for g in group]
-                starts = repeated_starts([g["bytes"] for g in group], places, length, keep_first)
-                for g, own, (_, _, _, first) in zip(group, starts, places, strict=True):
-                    found += [(g["doc"], g["mark"], s, e) for s, e in merged([(first + i, first + i + length) for i in own.tolist()])]
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(4)], ["doc", "mark", "start", "end"])
-
-    grouped = rows.groupBy("anchor").agg(F.collect_list(F.struct("doc", "mark", "at", "before", "bytes")).alias("group"))
-    return grouped.mapInArrow(run, "doc long, mark long, start long, end long")
-
-
-def _crowds(rows: DataFrame, length: int, keep_first: bool) -> list[DataFrame]:
-    """Spans of the contexts of anchors with many of them, by halving ranges of starts; see the module."""
-    # lo and hi: first and last start of a range, from the anchor.
-    live = rows.select("anchor", "doc", "mark", "at", "before", "bytes", (-F.col("before")).alias("lo"), (F.length("bytes") - F.col("before") - length).alias("hi")).filter("lo <= hi")
-    # One grid for all contexts of an anchor, or equal strings would lie in different ranges.
-    step = 1 << (length - 1).bit_length()
-    grid = F.explode(F.array(F.lit(-step), F.lit(0)))
-    live = live.withColumn("cell", grid).withColumn("width", F.lit(step))
-    done = []
-    while step >= 1:
-        first = F.greatest("lo", "cell")
-        last = F.least("hi", F.col("cell") + F.lit(step - 1))
-        cut = live.withColumn("first", first).withColumn("last", last).filter("first <= last")
-        piece = lambda a, b: F.md5(F.substring("bytes", (F.col("before") + a + 1).cast("int"), (b - a).cast("int")))
-        cut = cut.withColumn("all", F.xxhash64("anchor", "first", "last", piece(F.col("first"), F.col("last") + length)))
-        # What all strings of the cell share lies in every context that has one of them, also near a document's ends.
-        shared = F.xxhash64("anchor", "cell", piece(F.col("cell") + F.lit(step - 1), F.col("cell") + length))
-        cut = cut.withColumn("shared", shared if step - 1 < length else F.lit(None).cast("long"))
-        order = F.struct(F.col("doc").isNotNull(), "doc", "mark", "at")
-        cut = written(cut.withColumn("order", order), "ranges")
-        every = cut.groupBy("all").agg(F.count("*").alias("n_all"), F.min("order").alias("low_all"))
-        some = cut.filter("shared is not null").groupBy("shared").agg(F.count("*").alias("n_some"))
-        judged = written(cut.join(every, "all").join(some, "shared", "left"), "judged")
-        whole = F.col("low_all") < F.col("order") if keep_first else F.col("n_all") > 1
-        done.append(judged.filter(whole).select("doc", "mark", (F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("last") + length).alias("end")))
-        # One context of a group that is settled stays, for ranges of other ends to be compared with below.
-        stays = ~whole | (F.col("order") == F.col("low_all"))
-        open_ = judged.filter(stays & (F.col("shared").isNull() | (F.col("n_some") > 1)))
-        step //= 2
-        if step < 1 or open_.isEmpty():
-            break
-        live = open_.select("anchor", "doc", "mark", "at", "before", "bytes", "lo", "hi", F.explode(F.array(F.col("cell"), F.col("cell") + F.lit(step))).alias("cell"))
-    return done
-
-
-def repeated_spans(docs: DataFrame, length: int = 200, keep_first: bool = True, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc", "mark", "at", "before", "bytes")), strict=True):
+                # Rows that agree in id and text are one document.
+                if not held or held[-1][:4] != row[:4]:
+                    held.append(row)
+            # The last anchor may go on in the next batch.
+            whole = len(held)
+            while whole and held[whole - 1][0] == held[-1][0]:
+                whole -= 1
+            at = 0
+            while at < whole:
+                end = min(whole, at + crowd)
+                while end < whole and held[end][0] == held[end - 1][0]:
+                    end += 1
+                yield spans_of(held[at:end])
+                at = end
+            held = held[whole:]
+        if held:
+            yield spans_of(held)
+        give_back()
+
+    ordered = rows.select("anchor", "doc", "mark", "at", "before", "bytes").repartition("anchor").sortWithinPartitions("anchor", "doc", "mark", "at")
+    return ordered.mapInArrow(run, "doc long, mark long, start long, end long")
+
+
+def _cells(live: DataFrame, length: int, step: int) -> DataFrame:
+    """Narrow rows of the cells of ``step`` starts: hashes of all their bytes, and of those that all their strings share."""
+    first = F.greatest("lo", "cell")
+    last = F.least("hi", F.col("cell") + F.lit(step - 1))
+    cut = live.withColumn("first", first).withColumn("last", last).filter("first <= last")
+    piece = lambda a, b: F.md5(F.substring("bytes", (F.col("before") + a + 1).cast("int"), (b - a).cast("int")))
+    every = F.xxhash64("anchor", "first", "last", piece(F.col("first"), F.col("last") + length))
+    # What all strings of the cell share lies in every context that has one of them, also near a document's ends.
+    shared = F.xxhash64("anchor", "cell", piece(F.col("cell") + F.lit(step - 1), F.col("cell") + length))
+    return cut.select("context_id", "doc", "mark", "at", "cell", "first", "last", every.alias("all"), shared.alias("shared"))
+
+
+def _crowds(rows: DataFrame, length: int, keep_first: bool, step: int) -> list[DataFrame]:
+    """Spans of the contexts of anchors with many of them, by cells of ``step`` starts, then by starts; see the module."""
+    # lo and hi: first and last start, from the anchor. One grid for all contexts of an anchor, or equal strings would
+    # lie in different cells.
+    live = rows.withColumn("lo", -F.col("before")).withColumn("hi", F.length("bytes") - F.col("before") - length).filter("lo <= hi")
+    order = F.struct(F.col("doc").isNotNull(), "doc", "mark", "at")
+    span = (F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("last") + length).alias("end")
+
+    def judged(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The cells with ``low_all``, the first place of equal ones (null if there is none), and those that repeat."""
+        # Written, so that adaptive execution can split a class with very many rows.
+        every = written(cells.groupBy("all").agg(F.count("*").alias("n"), F.min(order).alias("low_all")).filter("n > 1").drop("n"), "classes")
+        known = cells.join(every, "all", "left")
+        whole = F.col("low_all").isNotNull()
+        return known, known.filter(whole & (F.col("low_all") < order) if keep_first else whole).select("doc", "mark", *span)
+
+    grid = F.sequence(F.floor(F.col("lo") / step) * step, F.floor(F.col("hi") / step) * step, F.lit(step).cast("long"))
+    wide = written(_cells(live.withColumn("cell", F.explode(grid)), length, step), "cells")
+    known, coarse = judged(wide)
+    some = written(wide.groupBy("shared").agg(F.count("*").alias("n")).filter("n > 1").select("shared"), "shared")
+    # One context of a class that is settled stays, for cells of other ends to be compared with below.
+    stays = F.col("low_all").isNull() | (F.col("low_all") == order)
+    open_ = known.filter(stays).join(some, "shared", "left_semi").select("context_id", "cell")
+    again = live.join(open_, "context_id").withColumn("cell", F.explode(F.sequence(F.col("cell"), F.col("cell") + F.lit(step - 1))))
+    return [coarse, judged(written(_cells(again, length, 1).drop("shared"), "starts"))[1]]
+
+
+def repeated_spans(docs: DataFrame, length: int = 200, keep_first: bool = True, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM, crowd: int = CROWD, cell: int = CELL) -> DataFrame:
     """``row`` (all columns of ``docs``), ``text`` and ``spans``, the maximal byte runs [start, end) of its repeated strings.
 
     A byte is in a span if a string of ``length`` bytes covers it that also starts elsewhere: at any other place, or
@@ -215,9 +257,13 @@ def repeated_spans(docs: DataFrame, length: int = 200, keep_first: bool = True,
         raise ValueError("length must be greater than gram")
     raw = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{doc_id}`").cast("long").alias("doc"), F.xxhash64(raw).alias("mark"), raw.alias("text"))
+    spark, path = docs.sparkSession, new_path(docs.sparkSession, "anchors")
     anchors = _anchored(keyed, length, gram)
-    again = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    met = written(anchors.join(again, "anchor", "left_semi"), "anchors")
+    anchors.write.parquet(path)
+    anchors = spark.read.schema(anchors.schema).parquet(path)
+    again = written(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "again")
+    met = written(anchors.join(again, "anchor", "left_semi"), "met")
+    remove(spark, path)
     order = F.struct(F.col("doc").isNotNull(), "doc", "mark", "at", "before", "after")
     contexts = met.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(order).alias("first"))
     kinds = written(contexts, "contexts")
@@ -227,17 +273,18 @@ def repeated_spans(docs: DataFrame, length: int = 200, keep_first: bool = True,
         same = same.filter(F.col("first") < order)
     spans = [same.select("doc", "mark", (F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end"))]
     # Different contexts of an anchor: those met once (or the first of each) are compared with the others.
-    variety = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    # Written, so that adaptive execution can split an anchor with very many contexts in the join.
+    variety = written(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "variety")
     open_ = kinds.join(variety, "anchor").select("anchor", "kinds", "first.doc", "first.mark", "first.at", "first.before", "first.after")
     by_doc = open_.groupBy("doc", "mark").agg(F.collect_list(F.struct("anchor", "kinds", "at", "before", "after")).alias("places"))
     texts = keyed.select(F.col("doc").alias("d"), F.col("mark").alias("m"), F.col("text").cast("binary").alias("bytes"))
     with_text = texts.join(by_doc, F.col("d").eqNullSafe(F.col("doc")) & (F.col("m") == F.col("mark")))
     pieces = with_text.select("doc", "mark", "bytes", F.explode("places").alias("p")).select("p.*", "doc", "mark", F.substring("bytes", (F.col("p.at") - F.col("p.before") + 1).cast("int"), F.col("p.before") + F.col("p.after")).alias("bytes"))
-    pieces = written(pieces.dropDuplicates(["anchor", "doc", "mark", "at"]), "pieces")
-    spans.append(_small_groups(pieces.filter(F.col("kinds") <= crowd), length, keep_first))
+    pieces = written(pieces.withColumn("context_id", F.monotonically_increasing_id()), "pieces")
+    spans.append(_small_groups(pieces.filter(F.col("kinds") <= crowd), length, keep_first, crowd))
     many = pieces.filter(F.col("kinds") > crowd)
-    if not many.isEmpty():
-        spans += _crowds(many, length, keep_first)
+    if not variety.filter(F.col("kinds") > crowd).isEmpty():
+        spans += _crowds(many, length, keep_first, cell)
     every = spans[0]
     for more in spans[1:]:
         every = every.unionByName(more)
@@ -267,16 +314,3 @@ def without_repeats(docs: DataFrame, length: int = 200, keep_first: bool = True,
     rows = append(found, run, "kept binary")
     n = F.octet_length("text").cast("long")
     return rows.select("row", "spans", n.alias("n_bytes"), (n - F.octet_length("kept")).alias("n_removed"), "kept")
-
-
-def brute_force(texts: list[bytes], length: int, keep_first: bool) -> list[list[tuple[int, int]]]:
-    """The spans by a table of all strings, for tests."""
-    seen: dict[bytes, list[tuple[int, int]]] = {}
-    for d, data in enumerate(texts):
-        for i in range(len(data) - length + 1):
-            seen.setdefault(hashlib.sha256(data[i : i + length]).digest(), []).append((d, i))
-    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-    for places in seen.values():
-        for d, i in places[1:] if keep_first else places if len(places) > 1 else []:
-            spans[d].append((i, i + length))
-    return [merged(x) for x in spans]

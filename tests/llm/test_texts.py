@@ -1,6 +1,7 @@
 """HTML, fingerprints, URL lists, chat windows and repeated strings against brute force."""
 
 import datetime
+import hashlib
 import random
 
 import pytest
@@ -278,11 +279,24 @@ def repeat_case():
     return texts + [w(60 + i) + p + w(40) for i in range(20)] + ["".join(prose(rng, 3000))] * 2
 
 
+def repeated_by_table(texts: list[bytes], length: int, keep_first: bool) -> list[list[tuple[int, int]]]:
+    """The spans by a table of all strings, for tests."""
+    seen: dict[bytes, list[tuple[int, int]]] = {}
+    for d, data in enumerate(texts):
+        for i in range(len(data) - length + 1):
+            seen.setdefault(hashlib.sha256(data[i : i + length]).digest(), []).append((d, i))
+    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+    for places in seen.values():
+        for d, i in places[1:] if keep_first else places if len(places) > 1 else []:
+            spans[d].append((i, i + length))
+    return [suffix_dedup.merged(x) for x in spans]
+
+
 @pytest.mark.parametrize(("length", "gram", "keep_first", "crowd"), [(200, 32, False, 400), (200, 32, False, 3), (64, 8, True, 3), (64, 8, True, 400)])
 def test_repeated_strings_equal_brute_force(spark, length, gram, keep_first, crowd):
     texts = repeat_case()
     docs = documents(spark, texts)
-    want = suffix_dedup.brute_force([(t or "").encode() for t in texts], length, keep_first)
+    want = repeated_by_table([(t or "").encode() for t in texts], length, keep_first)
     rows = suffix_dedup.without_repeats(docs, length, keep_first, gram=gram, crowd=crowd).collect()
     assert len(rows) == len(texts)
     for r in rows:
@@ -292,6 +306,15 @@ def test_repeated_strings_equal_brute_force(spark, length, gram, keep_first, cro
         assert bytes(r.kept) == b"".join(data[e:s] for e, s in zip(ends, starts, strict=True)) and r.n_bytes - r.n_removed == len(r.kept)
 
 
+def test_equal_rolling_hashes_of_different_strings_are_told_apart(monkeypatch):
+    contexts = [b"abcd", b"abce", b"abcd", b"xabcd"]
+    args = (contexts, suffix_dedup.np.array([0, 0, 0, 0]), suffix_dedup.np.array([0, 0, 0, 1]), suffix_dedup.np.arange(4), 4)
+    plain = [[x.tolist() for x in suffix_dedup.repeated_starts(*args, first)] for first in (True, False)]
+    assert plain == [[[], [], [0], [1]], [[0], [], [0], [1]]]
+    monkeypatch.setattr(suffix_dedup, "_powers", lambda base, n: suffix_dedup.np.zeros(n, suffix_dedup.np.uint64))
+    assert [[x.tolist() for x in suffix_dedup.repeated_starts(*args, first)] for first in (True, False)] == plain
+
+
 def test_anchors_of_texts_longer_than_a_piece(monkeypatch):
     rng = random.Random(2)
     data = bytes(rng.choices(b"abcd ", k=50_000))
