@@ -27,6 +27,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 #: An opening tag ends an open element of these, up to the nearest of the limits.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+#: Elements that part no words, as they are shown in a line or not at all.
+PHRASING = INLINE | RAW - {"xmp"} | frozenset("area audio button canvas embed input label link map meta meter object output param picture progress select source svg track video".split())
 #: Text that no reader sees or that is a control; it is never content.
 HIDDEN = RAW | frozenset("head button select option input".split())
 
@@ -61,19 +63,17 @@ class Page:
 def parse(html: str) -> Page:
     """The elements of a page; unclosed and stray tags are mended as the standard says, in one pass."""
     page, stack, block, at = Page(), [0], 0, 0
+    depths: dict[str, list[int]] = {}  # places in the stack of the open elements of each name
 
     def text(s: str) -> None:
         if s:
             page.runs.append((stack[-1], block, unescape(s)))
 
     def pop_to(names, limits=frozenset()) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = page.tags[stack[depth]]
-            if tag in names:
-                del stack[depth:]
-                return
-            if tag in limits:
-                return
+        depth = max((depths[n][-1] for n in names if depths.get(n)), default=0)
+        if depth > max((depths[n][-1] for n in limits if depths.get(n)), default=0):
+            while len(stack) > depth:
+                depths[page.tags[stack.pop()]].pop()
 
     while (start := html.find("<", at)) >= 0:
         m = _TOKEN.match(html, start)
@@ -86,11 +86,9 @@ def parse(html: str) -> Page:
         if m[1] is None:
             continue
         tag = m[1].lower()
-        if tag not in INLINE:
+        if tag not in PHRASING:
             block += 1
         if html[start + 1] == "/":
-            if tag == "p" and "p" not in (page.tags[i] for i in stack):
-                continue
             pop_to({tag})
             continue
         if tag in CLOSES_P:
@@ -103,6 +101,7 @@ def parse(html: str) -> Page:
         page.words.append(" ".join((a or b or c).lower() for name, a, b, c in _ATTRIBUTE.findall(m[2]) if name.lower() in ("class", "id", "role")) if m[2] else "")
         if tag in VOID:
             continue
+        depths.setdefault(tag, []).append(len(stack))
         stack.append(len(page.tags) - 1)
         if tag in RAW:
             closed = _RAW_END[tag].search(html, at)

@@ -3,6 +3,7 @@
 import datetime
 import hashlib
 import random
+import time
 
 import pytest
 import regex
@@ -56,6 +57,20 @@ def test_training_pages_are_learnt_and_messages_give_exact_marginals():
     assert html_text.marginals(page, model) == pytest.approx([x / total for x in on])
 
 
+def test_scripts_and_images_part_no_words():
+    page = html_text.parse("<p>Hello<script>x</script>World<img src=a>s<style>p{}</style></p><p>b")
+    assert len({block for element, block, _ in page.runs if page.tags[element] == "p"}) == 2
+    article = "<article><h1>Rain</h1><p>Hello<script>x</script>World, and all of you, at once.</p></article>"
+    assert html_text.main_text(article, html_text.train()) == "Rain HelloWorld, and all of you, at once."
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20_000 + "</span>" * 20_000, "<p><button>" + "<div>" * 20_000, "<li>" + "<b>" * 20_000 + "</p>" * 20_000, "<p><button>" + "<b><p>" * 20_000])
+def test_stray_tags_take_linear_time(page):
+    began = time.process_time()
+    html_text.parse(page)
+    assert time.process_time() - began < 2
+
+
 def test_pages_of_all_kinds_do_not_crash(spark):
     htmls = [None, "", "plain text", "<", "<p", "<p class='", "<!--", "<script>x", "</p></div>", "<div>" * 30_000 + "x", "<td><li><p>a<p>b</ul>", "&#0;&am &amp", "<article><p>" + "Yes, it is so. " * 50_000 + "</article>"]
     pages = spark.createDataFrame([(i, "u", h, "x", "y") for i, h in enumerate(htmls)], "page_id long, url string, html string, text string, row string")
