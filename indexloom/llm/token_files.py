@@ -14,6 +14,9 @@ import struct
 import zlib
 from array import array
 from bisect import bisect_right
+from collections.abc import Callable
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -144,6 +147,30 @@ class WaveletMatrix:
         return now
 
 
+class _Known(dict):
+    """Values by key, made where they are missing. Long keys are not kept, and beyond ``most`` the later half goes.
+
+    The common words of a corpus are met first, so what stays is what is asked for most.
+    """
+
+    LONGEST = 64
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self._make, self._most = make, most
+
+    def __missing__(self, key: str) -> bytes:
+        value = self._make(key)
+        if len(key) <= self.LONGEST:
+            self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > self._most:
+            kept = list(islice(self.items(), self._most // 2))
+            self.clear()
+            self.update(kept)
+
+
 class Encoder:
     """Ids of texts, as the tokenizer gives them, by encoding each space-parted word once.
 
@@ -152,7 +179,7 @@ class Encoder:
     the model, whatever ASCII marks follow it. Other tokenizers, with ``by_words`` off, encode whole texts.
     """
 
-    WORDS, PIECES = 600_000, 800_000
+    WORDS = 800_000
     _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%$#&*]*)")
 
     def __init__(self, tokenizer_json: str, by_words: bool):
@@ -161,8 +188,7 @@ class Encoder:
         self.tokenizer, self.by_words = Tokenizer.from_str(tokenizer_json), by_words
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self._code = "H" if self.dtype is np.uint16 else "I"
-        self._words: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._words = _Known(self._word, self.WORDS)
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         #: The byte-level alphabet: a visible byte is its own character, the others follow from U+0100.
@@ -171,22 +197,15 @@ class Encoder:
     def _general(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _piece(self, text: str, plain: bool) -> bytes:
-        if (known := self._pieces.get(text)) is None:
-            if plain:
-                spelled = text if text.isascii() else "".join(map(self._alphabet.__getitem__, text.encode()))
-                known = array(self._code, [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
-            else:
-                known = self._general(text)
-            if len(self._pieces) >= self.PIECES:
-                self._pieces.clear()
-            self._pieces[text] = known
-        return known
-
     def _word(self, word: str) -> bytes:
-        if m := self._PLAIN.fullmatch(word):
-            return self._piece(m[1].lower(), True) + (self._piece(m[2], False) if m[2] else b"")
-        return self._piece(word, False) if len(word) <= 64 else self._general(word)
+        m = self._PLAIN.fullmatch(word)
+        if not m:
+            return self._general(word)
+        if m[2]:
+            return self._words[m[1]] + self._words[m[2]]
+        letters = word.lower()
+        spelled = letters if letters.isascii() else "".join(map(self._alphabet.__getitem__, letters.encode()))
+        return array(self._code, [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
 
     @staticmethod
     def _folded(text: str) -> str:
@@ -202,25 +221,17 @@ class Encoder:
             return [self._general(x) for x in texts]
         out = []
         for text in texts:
-            text = self._folded(text)
-            parts = text.replace("\n", " ").split(" ")
-            coded = list(map(self._words.get, parts))
-            try:
-                out.append(b"".join(coded))
-            except TypeError:
-                # Most texts have a word that was not seen before; only those are looked at again.
-                if len(self._words) > self.WORDS:
-                    self._words.clear()
-                for i, known in enumerate(coded):
-                    if known is None:
-                        known = self._words.get(parts[i])
-                        if known is None:
-                            known = self._words[parts[i]] = self._word(parts[i])
-                        coded[i] = known
-                out.append(b"".join(coded))
+            out.append(b"".join(map(self._words.__getitem__, self._folded(text).replace("\n", " ").split(" "))))
+            self._words.trim()
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer_json: str, by_words: bool) -> Encoder:
+    """The worker's encoder, which its later tasks find with the words of its earlier ones."""
+    return Encoder(tokenizer_json, by_words)
+
+
 def _open(path: str):
     from pyarrow import fs
 
@@ -245,7 +256,7 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, end_id: int, folder:
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
         system, base = _open(folder)
-        encoder, ids, sizes, names, seq = Encoder(shared.value, by_words), [], [], [], 0
+        encoder, ids, sizes, names, seq = encoder_of(shared.value, by_words), [], [], [], 0
         end = encoder.dtype(end_id).tobytes()
 
         def close() -> pa.RecordBatch:
@@ -272,7 +283,6 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, end_id: int, folder:
                     held = 0
         if names:
             yield close()
-        del encoder
         give_back()
 
     ranged = own.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
