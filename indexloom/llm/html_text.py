@@ -32,6 +32,10 @@ PHRASING = INLINE | RAW - {"xmp"} | frozenset("area audio button canvas embed in
 #: Text that no reader sees or that is a control; it is never content.
 HIDDEN = RAW | frozenset("head button select option input".split())
 
+#: Elements that running text is made of, and those that mark an article.
+FLOW = INLINE - {"a"} | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+MARKED = frozenset({"article", "main"})
+
 SHARED = 0.4
 
 #: Attributes as the standard reads them: a quote opens a value only directly after "="; any other is a character of a name or value.
@@ -112,10 +116,28 @@ def parse(html: str) -> Page:
     return page
 
 
+def with_body(page: Page) -> Page:
+    """A page without a body gets the one that the standard implies: below ``html`` or the root, around all but the head."""
+    if "body" in page.tags:
+        return page
+    top = page.tags.index("html") if "html" in page.tags else 0
+    body = top + 1
+    moved = lambda i, own: body if i == top and own else i + (i > top)
+    parents = [moved(p, tag not in ("head", "html")) for p, tag in zip(page.parents, page.tags, strict=True)]
+    for column, value in ((page.tags, "body"), (page.words, ""), (page.attributes, ""), (parents, top)):
+        column.insert(body, value)
+    page.parents, page.runs = parents, [(moved(e, True), block, text) for e, block, text in page.runs]
+    return page
+
+
 def features(page: Page) -> list[list[str]]:
-    """The evidence of each element: its own names, and what its own and inner text looks like."""
+    """The evidence of each element: its own names, what its own and inner text looks like, and its place in the page.
+
+    ``flow`` is the share of a body's text that it holds itself or in paragraphs, headings and the like directly below.
+    ``place`` tells what lies outside the articles of a page that marks them.
+    """
     n = len(page.tags)
-    own, inner, linked, stops = [0] * n, [0] * n, [0] * n, [0] * n
+    own, inner, linked, stops, direct = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
     for element, _, text in page.runs:
         if page.tags[element] not in HIDDEN:
             size = len(text.strip())
@@ -124,16 +146,29 @@ def features(page: Page) -> list[list[str]]:
             stops[element] += text.count(". ") + text.count(", ")
             if page.tags[element] == "a":
                 linked[element] += size
+    holds = [False] * n
     for i in range(n - 1, 0, -1):
         p = page.parents[i]
         inner[p] += inner[i]
         stops[p] += stops[i]
         linked[p] += inner[i] if page.tags[i] == "a" else linked[i]
-    out = []
+        direct[p] += inner[i] if page.tags[i] in FLOW else 0
+        holds[p] |= holds[i] or page.tags[i] in MARKED
+    share = [linked[i] / inner[i] if inner[i] else 0.0 for i in range(n)]
+    out, within = [], [False] * n
     for i in range(n):
+        within[i] = page.tags[i] in MARKED or i > 0 and within[page.parents[i]]
         tag = re.sub(r"^h[1-6]$", "heading", page.tags[i])
-        size, links = inner[i], linked[i] / inner[i] if inner[i] else 0.0
-        found = [f"tag:{tag}", f"size:{min(4, len(str(size // 20)) if size >= 20 else 0)}", f"links:{0 if links < 0.1 else 1 if links < 0.5 else 2}", f"prose:{min(2, stops[i])}"]
+        if tag in ("a", "li", "ul", "ol"):
+            # A link in running text is not one of a menu, and a list of sentences is not a menu.
+            tag += ":text" if share[page.parents[i] if tag == "a" else i] < 0.5 else ":menu"
+        size = inner[i]
+        found = [f"tag:{tag}", f"size:{min(4, len(str(size // 20)) if size >= 20 else 0)}", f"links:{0 if share[i] < 0.1 else 1 if share[i] < 0.5 else 2}", f"prose:{min(2, stops[i])}"]
+        if tag == "body":
+            flow = (own[i] + direct[i]) / size if size else 0.0
+            found.append(f"flow:{0 if flow < 0.02 else 1 if flow < 0.3 else 2}")
+        if holds[0] and not within[i] and not holds[i]:
+            found.append("place:out")
         found += [f"word:{w}" for w in set(_PART.findall(page.words[i]))]
         out.append(found)
     return out
@@ -163,7 +198,7 @@ def train(pages: tuple[str, ...] = PAGES, smoothing: float = 0.1) -> Model:
     names = seen[0].keys() | seen[1].keys()
     rate = lambda y, f: (seen[y][f] + smoothing) / (totals[y] + 2 * smoothing)
     # An element's text is its ancestors' text as well, so what it looks like counts for less than names do.
-    evidence = {f: math.log(rate(1, f) / rate(0, f)) * (1.0 if f.startswith(("tag:", "word:")) else SHARED) for f in names}
+    evidence = {f: math.log(rate(1, f) / rate(0, f)) * (1.0 if f.startswith(("tag:", "flow:", "word:")) else SHARED) for f in names}
     pair = lambda p, c: math.log((edges[p, c] + smoothing) / (edges[p, 0] + edges[p, 1] + 2 * smoothing))
     return Model(evidence, (pair(0, 0), pair(0, 1), pair(1, 0), pair(1, 1)), -4.0)
 
@@ -202,7 +237,7 @@ def marginals(page: Page, model: Model) -> list[float]:
 
 def main_text(html: str, model: Model, threshold: float = 0.5) -> str:
     """The content text: white space inside a block is one space, blocks are joined by one."""
-    page = parse(html)
+    page = with_body(parse(html))
     likely = marginals(page, model)
     blocks: list[str] = []
     last = None

@@ -23,6 +23,7 @@ _SHARE = '<div class="share social"><a href="/t">Share</a> <a href="/u">Send</a>
 _CRUMBS = '<div class="breadcrumb"><a href="/">Home</a> / <a href="/n">News</a></div>'
 _COMMENTS = f'<section class="comments" id="comments"><h2>Comments</h2><div class="comment"><p class="author">Ann</p><p>I remember that summer well. {_SHORT}</p></div><div class="comment"><p>{_PROSE}</p></div></section>'
 _COMMENTS2 = f'<ol class="comment-list"><li class="comment"><p>{_PROSE}</p><a href="/r">Reply</a></li><li class="comment"><p>Well said, thank you.</p></li></ol>'
+_COMMENTS3 = f'<section class="comments"><h2>2 comments</h2><article class="comment"><footer>Ann</footer><p>{_PROSE}</p></article><article class="comment"><p>Well said, thank you.</p></article></section>'
 _P = f"<p>{_PROSE}</p>"
 _STORY = f"<h1>A dry summer</h1><p><b>Mills stand idle.<br></b></p>{_P}<p>{_SHORT}</p><h2>Rain</h2>{_P}"
 _RICH = f'<h1>A dry summer</h1>{_P}<ul><li>The mill at Ham, which closed.</li><li>The mill at Orr.</li></ul><blockquote><p>{_SHORT}</p></blockquote><p>See <a href="/m">the map of mills</a>, which shows them all.</p><figure><img src="m.png"><figcaption>The mill at Ham, in 1901.</figcaption></figure><table><tr><td>Ham</td><td>1,200 sacks</td></tr></table><pre>12 34</pre>{_P}'
@@ -48,7 +49,7 @@ _WHOLE = tuple(
     )
 )
 
-_CLUTTER = (_NAV, _MENU, _HEADER, _FOOTER, _ADVERT, _ADVERT2, _SIDE, _SIDE2, _NOTICE, _NOTICE2, _FORM, _SHARE, _CRUMBS, _COMMENTS, _COMMENTS2)
+_CLUTTER = (_NAV, _MENU, _HEADER, _FOOTER, _ADVERT, _ADVERT2, _SIDE, _SIDE2, _NOTICE, _NOTICE2, _FORM, _SHARE, _CRUMBS, _COMMENTS, _COMMENTS2, _COMMENTS3)
 _CLUTTER += tuple(
     f'<{tag} class="{words}"><p>{text}</p></{tag}>'
     for tag, words, text in (
@@ -62,8 +63,24 @@ _CLUTTER += tuple(
         ("div", "disclaimer notice", "This text is not advice. Ask a lawyer."),
     )
 )
+#: Pages whose body is the article, without an element around it.
+_PLAIN = tuple(
+    f"<html><head><title>A page</title></head><body data-main>{body}</body></html>"
+    for body in (
+        f"{_P}",
+        f"<p>{_SHORT}</p>",
+        f"<h1>A dry summer</h1>{_P}<p>{_SHORT}</p>",
+        f"{_PROSE}<br>{_PROSE}",
+        f"{_inner(_NAV)}{_STORY}{_inner(_FOOTER)}",
+        f"{_inner(_HEADER)}{_inner(_MENU)}{_RICH}{_inner(_SIDE2)}{_inner(_FOOTER)}",
+        f"{_inner(_NAV)}<h1>A dry summer</h1>{_P}{_inner(_ADVERT)}{_P}{_inner(_COMMENTS)}{_inner(_FOOTER)}",
+        f"{_inner(_NAV)}{_inner(_NOTICE)}{_P}<p>{_SHORT}</p>{_inner(_FORM)}{_inner(_FOOTER)}",
+        "<p>Rain.</p>",
+        "Rain",
+    )
+)
 #: Each piece of clutter before, after and inside the content of a page.
-PAGES = _WHOLE + tuple(
+PAGES = _WHOLE + _PLAIN + tuple(
     _page(page)
     for piece in _CLUTTER
     for page in (
@@ -71,4 +88,4 @@ PAGES = _WHOLE + tuple(
         f"{_NAV}<div class='post-content' data-main>{_STORY}</div>{piece}",
         f"{_NAV}<article data-main>{_RICH}{_inner(piece)}{_P}</article>{_FOOTER}",
     )
-)
+) + tuple(f"<html><head><title>A page</title></head><body data-main>{_inner(_NAV)}<h1>A dry summer</h1>{_P}{_inner(piece)}{_P}{_inner(_FOOTER)}</body></html>" for piece in _CLUTTER)

@@ -57,6 +57,53 @@ def test_training_pages_are_learnt_and_messages_give_exact_marginals():
     assert html_text.marginals(page, model) == pytest.approx([x / total for x in on])
 
 
+_A = "The old bridge was closed in spring. Boats carried people over, for a small fee."
+_B = "A new one will be built next year, said the mayor, if the money is found."
+_MENU = "<nav><a href=/x>One</a> <a href=/y>Two</a></nav>"
+_END = "<footer>&copy; 2020 Some site. All rights reserved.</footer>"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>Hi there</p>", "Hi there"),
+        (f"{_A} {_B}", f"{_A} {_B}"),
+        (f"<html><body>{_A}<br>{_B}</body></html>", f"{_A} {_B}"),
+        ("<body><p>Only one plain paragraph here, with words, and more. It reads well.</p></body>", "Only one plain paragraph here, with words, and more. It reads well."),
+        (f"<body><h1>Title</h1><p>{_A}</p><p>{_B}</p></body>", f"Title {_A} {_B}"),
+        (f"<body>{_MENU}<h2>Title</h2><p>{_A}</p><div class=ad>Buy this, now.</div><p>{_B}</p><aside><a href=/1>More</a></aside>{_END}</body>", f"Title {_A} {_B}"),
+        (f"<html><head><title>x</title></head><h1>Title</h1><p>{_A}</p>{_END}", f"Title {_A}"),
+        (f"{_MENU}<p>{_A}</p><p>{_B}</p>{_END}", f"{_A} {_B}"),
+        (f"<table><tr><td>{_A}</td></tr><tr><td>{_B}</td></tr></table>", f"{_A} {_B}"),
+        (f"<body><div><div>{_MENU}<div><p>{_A}</p><p>{_B}</p></div></div></div>{_END}</body>", f"{_A} {_B}"),
+        (f"<body>{_MENU}{_END}</body>", ""),
+        (f"<body>{_MENU}<form><p>Sign up here, it is free.</p><input></form>{_END}</body>", ""),
+    ],
+)
+def test_pages_without_an_element_around_the_article(page, want):
+    assert html_text.main_text(page, html_text.train()) == want
+
+
+@pytest.mark.parametrize(
+    "comments",
+    [
+        f"<section class=discussion><h2>Replies</h2><div class=item><p>I saw it, too.</p></div><div class=item><p>{_A}</p></div></section>",
+        f"<div class=kommentare><p>Ja, so war es.</p><p>{_A}</p></div>",
+        f"<section class=comments><article class=comment><p>{_A}</p></article></section>",
+        f"<div id=x1><h3>More</h3><p>{_A}</p></div>",
+    ],
+)
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_comments_of_unseen_names_beside_a_marked_article(tag, comments):
+    page = f"<body>{_MENU}<{tag}><h1>Title</h1><p>{_A}</p><p>{_B}</p></{tag}>{comments}{_END}</body>"
+    assert html_text.main_text(page, html_text.train()) == f"Title {_A} {_B}"
+
+
+def test_links_and_lists_in_running_text_stay():
+    page = f"<body>{_MENU}<div class=artikel><h1>Title</h1><p>{_A} See <a href=/z>this</a>, too.</p><ul><li>One, first.</li><li>Two, and last.</li></ul><p>{_B}</p></div>{_END}</body>"
+    assert html_text.main_text(page, html_text.train()) == f"Title {_A} See this, too. One, first. Two, and last. {_B}"
+
+
 def test_scripts_and_images_part_no_words():
     page = html_text.parse("<p>Hello<script>x</script>World<img src=a>s<style>p{}</style></p><p>b")
     assert len({block for element, block, _ in page.runs if page.tags[element] == "p"}) == 2
