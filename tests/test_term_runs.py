@@ -6,7 +6,11 @@ from collections import defaultdict
 import pyarrow as pa
 
 from indexloom.catalog import entities as E
+from indexloom.config import Column
 from indexloom.functions import term_runs
+from indexloom.functions.stem import STEP_2, STEP_3, STEP_4, stem, with_stem
+from indexloom.operators import postings
+from indexloom.plans import index as index_plan
 from indexloom.functions.fixed_values import MAX_GRAM, MIN_GRAM
 from indexloom.functions.text import POSITIONAL
 
@@ -52,6 +56,39 @@ def test_rows_come_in_the_order_of_their_postings():
     assert rows == sorted(rows)
 
 
+def test_both_forms_of_the_stemmer_agree(spark):
+    rng = random.Random(5)
+    ends = [*STEP_2, *STEP_3, *STEP_4, "s", "sses", "ies", "ss", "ed", "eed", "ing", "y", "ll", "e"]
+    words = {"".join(rng.choices("abceiltysyxwzäоb7", k=rng.randint(0, 5))) + rng.choice(ends) + rng.choice(["", *ends]) for _ in range(3000)}
+    df = spark.createDataFrame([(w, w) for w in sorted(words)], "word string, stem string")
+    assert [(r.word, r.stem) for r in with_stem(df, "stem").collect() if stem(r.word) != r.stem] == []
+
+
+def test_words_that_share_a_stem_are_one_row_before_they_move():
+    rows = list(_got(term_runs.combine_stems([_batch([(1, "full_text_en", ["bolts", "red", "bolt", "bolted"]), (1, "full_text_lv", ["bolts", "bolt"])])])))
+    assert [r[2:] for r in rows if r[1] == "full_text_en"] == [("bolt", 3, 0, (0, 2, 3)), ("red", 1, 1, (1,))]
+    assert sorted(r[2] for r in rows if r[1] == "full_text_lv") == ["bolt", "bolts"]
+
+
+def test_stemmed_values_of_one_key_meet_and_others_are_not_grouped(spark):
+    rows = [(1, "full_text_en", "red bolts"), (1, "full_text_en", "red bolt"), (2, "full_text_en", "bolting bolt"), (2, "code", "bolt"), (2, "code", "bolt")]
+    stacked = spark.createDataFrame([(i, "f", a, "", v) for i, a, v in rows], "doc_id long, field string, analyzer string, elem string, value string")
+    made = postings.build_postings(stacked, 2, 3)
+    found = sorted((r.doc_id, r.analyzer, r.term, r.tf, r.first_pos, tuple(r.positions)) for r in made.collect())
+    text = "full_text_en"
+    assert found == [(1, text, "bolt", 2, 1, (1, 1)), (1, text, "red", 2, 0, (0, 0)), (2, "code", "bolt", 1, 0, (0,)), (2, "code", "bolt", 1, 0, (0,)), (2, text, "bolt", 2, 0, (0, 1))]
+
+
+def test_deletions_are_made_where_they_are_written(spark):
+    stats = spark.createDataFrame([("f", "code", 0, "bolt", 1, 1)], "field string, analyzer string, head int, term string, df long, ctf long")
+    placed = index_plan._by_head(stats, 2, 4)
+    assert placed.rdd.getNumPartitions() == 4
+    made = postings.build_variants(placed, [Column("f", "f", "string", "code", False)])
+    tree = made._jdf.queryExecution().executedPlan().toString()
+    assert 0 <= tree.index("Generate") < tree.index("Exchange")
+    assert made.select("key").distinct().count() == 1 + 2 + 1
+
+
 def test_a_small_file_of_products_is_spread(spark, tmp_path):
     part = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
     spark.createDataFrame([(n, "red bolt", "B", "SMALL", 2, 1.0) for n in range(100)], part).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
