@@ -1,10 +1,15 @@
 """Postings in blocks: made without moving them, taken apart only where a term asks for them."""
 
+from dataclasses import replace
+
+import pytest
 from pyspark.sql import functions as F
 
 from indexloom import Entity, Settings, build_index
+from indexloom.config import searched_columns
 from indexloom.functions import distance
 from indexloom.operators import postings, scoring
+from indexloom.operators import query_terms as Q
 
 STACKED = "doc_id long, field string, analyzer string, elem string, value string"
 ROWS = [
@@ -60,3 +65,22 @@ def test_keys_of_a_term_stay_in_its_row(spark):
     assert "Generate" not in _plan(made)
     # Itself, four words without one letter behind the first two, six without two.
     assert made.select(F.size("keys")).first()[0] == 11
+
+
+@pytest.mark.parametrize("operator", ["and", "or"])
+def test_matches_of_a_field_are_added_up_before_they_move(spark, operator):
+    entity = Entity(name="Note", table="note", key="id", translatable=("text", "title"), fields=("text", "title"))
+    settings = Settings(locales=("en",))
+    rows = [(n, " ".join(w for k, w in enumerate(("red", "bolt", "nut", "bolts")) if n >> k & 1), "red nut" if n % 3 else None) for n in range(1, 16)]
+    once, twice = (build_index(entity, {"note": spark.createDataFrame(r, "id long, text string, title string")}, settings) for r in (rows, [*rows, rows[6]]))
+    assert once.unique and not twice.unique
+    columns = searched_columns(entity, settings)
+    analyzed = Q.analyze_queries(spark.createDataFrame([("a", "red bolt nut"), ("b", "nut"), (None, "bolts red")], "qid string, text string"), Q.query_analyzers(columns))
+    found = {}
+    for index in (once, replace(once, unique=False), twice, replace(twice, unique=False)):
+        terms = scoring.query_terms(Q.plain_terms(analyzed, columns, "main", operator), index)
+        scores = scoring.whole_field_scores(index, terms, {"title_en": 2.0})
+        found[id(index)] = (sorted((str(r.qid), r.doc_id, r.clause, r.field, round(r.score, 9)) for r in scores.collect()), _plan(scores))
+    (a, plan), (b, general), (c, _), (d, _) = found.values()
+    assert a and a == b and c == d
+    assert plan.index("HashAggregate") > plan.index("Exchange") and "partial_sum" in plan[plan.index("Exchange"):] and plan != general
