@@ -1,8 +1,10 @@
 """Matches decided in the pieces of the postings, against all matches moved by document."""
 
 from dataclasses import replace
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,6 +98,15 @@ def test_single_values_of_a_document_stay_together(monkeypatch):
         assert sum(map(len, single)) == 5
 
 
+def test_postings_are_written_as_differences(index):
+    folder = index.segments[0].path + "/postings"
+    files = [pq.ParquetFile(path).metadata for path in sorted(Path(folder).rglob("*.parquet"))]
+    columns = [f.row_group(0).column(n) for f in files for n in range(f.num_columns)]
+    kinds = {name: {e for c in columns if c.path_in_schema.startswith(name) for e in c.encodings} for name in ("tfs", "firsts", "starts", "doc_ids")}
+    assert all("DELTA_BINARY_PACKED" in kinds[name] for name in ("tfs", "firsts", "starts"))
+    assert any("DICTIONARY" in e for e in kinds["doc_ids"]) and not any("DICTIONARY" in e for e in kinds["tfs"])
+
+
 def test_empty_search_finds_nothing(spark, index):
     terms = _terms(spark, index, lambda a, c: Q.plain_terms(a, c, "main")).filter(F.lit(False))
     assert scoring.piece_scores(index, terms).isEmpty()
